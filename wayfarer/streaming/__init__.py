@@ -1,0 +1,7 @@
+"""Structured Streaming: intentionally empty.
+
+The warehouse this library re-implements is an offline batch pipeline; it has no stream
+sources, watermarks, event-time windows or stateful operators, so none are provided here.
+Incremental loads are served by the batch jobs with ``write_table(..., overwrite="dynamic")``,
+which replaces only the partitions (periods) present in a run.
+"""
