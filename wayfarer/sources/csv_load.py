@@ -53,5 +53,9 @@ def read_trip_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def write_source_csv(df: DataFrame, path: str, mapping: Mapping[str, str]) -> None:
     """Write ODS-named columns back under their source header names (used to build test input)."""
-    df.select(*[F.col(dst).cast("string").alias(src) for src, dst in mapping.items()]) \
-        .write.mode("overwrite").option("header", True).option("encoding", "utf-8").csv(path)
+    # Spark's CSV writer trims values by default; keep them byte-exact (a space-only label must
+    # stay space-only, it is not the same as an empty field, which reads back as NULL)
+    (df.select(*[F.col(dst).cast("string").alias(src) for src, dst in mapping.items()])
+       .write.mode("overwrite").option("header", True).option("encoding", "utf-8")
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+       .csv(path))
