@@ -15,14 +15,43 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def format_literals(fmt: str) -> list[str]:
+    """Literal (non-pattern) characters of a datetime pattern: separators and quoted text."""
+    out, quoted, i = [], False, 0
+    while i < len(fmt):
+        ch = fmt[i]
+        if ch == "'":
+            if i + 1 < len(fmt) and fmt[i + 1] == "'":
+                out.append("'")
+                i += 2
+                continue
+            quoted = not quoted
+        elif quoted or not ch.isalpha():
+            out.append(ch)
+        i += 1
+    return sorted(set(out))
+
+
 def parse_date_multi(c: str | Column, formats: Sequence[str] = REFERENCE_DATE_FORMATS) -> Column:
     """First format that parses wins; unparseable text gives NULL.
 
     ``try_to_date`` keeps this safe under ANSI mode, where ``to_date`` raises on the first
-    value that does not match one of the formats.
+    value that does not match one of the formats. A format is only attempted when the text
+    contains all of its literal characters (a necessary condition for a match, so results
+    are unchanged): a failed parse is expensive, and this skips nearly all of them.
     """
     c = _col(c)
-    return F.coalesce(*[F.try_to_date(c, fmt) for fmt in formats])
+    parsed = []
+    for fmt in formats:
+        attempt = F.try_to_date(c, fmt)
+        lits = format_literals(fmt)
+        if lits:
+            guard = c.contains(lits[0])
+            for ch in lits[1:]:
+                guard = guard & c.contains(ch)
+            attempt = F.when(guard, attempt)
+        parsed.append(attempt)
+    return F.coalesce(*parsed)
 
 
 def quarter_of_month(month: str | Column) -> Column:

@@ -46,13 +46,15 @@ def year_range(df: DataFrame, year_col: str, lo: int, hi: int) -> DataFrame:
     return df.filter((y >= lo) & (y < hi))
 
 
-def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = (), hash_lead: bool = True) -> DataFrame:
     """One row per key combination; the survivor is the smallest by ``order`` (NULLs last),
     remaining ties broken by the other columns, so the result never depends on input order.
 
     Planned as ``groupBy(keys).agg(min(struct))``: partial aggregation runs before the shuffle,
     so a group of copies holding a large share of all rows is collapsed map-side and never
-    lands whole in one task.
+    lands whole in one task. The aggregate is sort-based (its buffer holds strings); a 64-bit
+    hash of the keys leads the grouping so the sorts compare one long instead of the (often
+    long) key strings. The real keys stay in the grouping, so collisions cannot merge groups.
     """
     keys = list(keys)
     order = [c for c in order if c not in keys]
@@ -63,7 +65,8 @@ def dedupe(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> Dat
     parts += [F.col(c).alias(f"r{i}") for i, c in enumerate(others)]
     if not parts:
         return df.select(*keys).distinct()
-    best = df.groupBy(*keys).agg(F.min(F.struct(*parts)).alias("_best"))
+    lead = [F.xxhash64(*keys).alias("_h")] if hash_lead else []
+    best = df.groupBy(*lead, *keys).agg(F.min(F.struct(*parts)).alias("_best"))
     back = {c: F.col(f"_best.o{i}") for i, c in enumerate(order)}
     back.update({c: F.col(f"_best.r{i}") for i, c in enumerate(others)})
     return best.select(*[F.col(c) if c in keys else back[c].alias(c) for c in df.columns])

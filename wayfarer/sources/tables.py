@@ -23,15 +23,20 @@ def write_table(df: DataFrame, target: str, schema: StructType | None = None,
     """Overwrite ``target`` (a path, or a catalog table when ``as_table``) with Parquet.
 
     ``schema`` is enforced first (select + cast by name), so the stored types are the declared
-    ones. With ``partition_by``, ``files_per_partition`` spreads every output partition over that
-    many tasks (hash of all columns), so one huge period neither lands in one task nor leaves
-    thousands of tiny files. ``overwrite="dynamic"`` replaces only the partitions present in ``df``.
+    ones. With ``partition_by`` the rows are first rebalanced on the partition columns: AQE
+    coalesces small output partitions and splits skewed ones to the advisory size, so each
+    table partition gets a few right-sized files instead of one file per task and period, and
+    one huge period is still written by many tasks. ``files_per_partition`` instead spreads every
+    table partition over exactly that many tasks (hash of all columns). ``overwrite="dynamic"``
+    replaces only the partitions present in ``df``.
     """
     if schema is not None:
         df = conform(df, schema)
     if partition_by and files_per_partition:
         salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
         df = df.repartition(*[F.col(c) for c in partition_by], salt)
+    elif partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
