@@ -1,0 +1,119 @@
+"""Hand-computed end-to-end check: raw CSV -> every layer table, with the original defaults."""
+
+import datetime as dt
+
+import pytest
+
+from wayfarer.plans import REFERENCE_PARAMS, jobs
+from wayfarer.plans.pipeline import run_pipeline, table_paths
+from wayfarer.sources import POI_CSV_COLUMNS, TRIP_CSV_COLUMNS, read_table, write_source_csv
+
+POIS = [
+    ("p1", "西湖", "West Lake", "杭州", "Hangzhou", "30.2", "120.1", "湖泊;风景", "lake"),
+    ("p2", "灵隐寺", "Lingyin", "杭州", "Hangzhou", "30.2", "120.1", "寺庙", "temple"),
+    ("p3", "外滩", "Bund", "上海", "Shanghai", "31.2", "121.5", "城市地标;步行街", "landmark"),
+    ("p4", "迪士尼", "Disney", "上海", "Shanghai", "31.1", "121.6", "乐园", "park"),
+    ("p5", None, "Nameless", "上海", "Shanghai", "31.1", "121.6", "公园", "park"),
+    ("p6", "某地", "Someplace", "北京", "Beijing", "39.9", "116.4", "  ", ""),
+]
+TRIPS = [
+    ("u1", "2022-01-01", "2021/1/10", "Family", "p1;p2"),
+    ("u1", "2022-01-01", "2021-01-10", "Family", "p1;p2"),
+    ("u1", "2022-01-01", "20210415", None, "p1;p5;"),
+    ("u2", "2022-01-01", "2021/4/20", "Friends", "p3;p4;p3"),
+    ("u2", "2022-01-01", "2020/12/1", "Friends", "p3"),
+    ("u3", "2022-01-01", "2010/5/5", "Solo", "p1"),
+    ("u3", "2022-01-01", "bad", "Solo", "p1"),
+    ("u3", "2022-01-01", "2021/7/1", "Solo", "p4"),
+]
+
+
+@pytest.fixture(scope="module")
+def warehouse(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("golden")
+    ods_poi = spark.createDataFrame(POIS, ", ".join(f"{c} string" for c in POI_CSV_COLUMNS.values()))
+    ods_trip = spark.createDataFrame(TRIPS, ", ".join(f"{c} string" for c in TRIP_CSV_COLUMNS.values()))
+    write_source_csv(ods_poi, str(base / "POIs.csv"), POI_CSV_COLUMNS)
+    write_source_csv(ods_trip, str(base / "Visit_Sequences.csv"), TRIP_CSV_COLUMNS)
+    poi, trip = jobs.load_ods(spark, str(base / "POIs.csv"), str(base / "Visit_Sequences.csv"))
+    paths = run_pipeline(spark, poi, trip, str(base / "wh"), REFERENCE_PARAMS)
+    return {name: read_table(spark, p) for name, p in paths.items()}
+
+
+def _by(df, *key):
+    return {tuple(getattr(r, k) for k in key): r for r in df.collect()}
+
+
+def test_ods_types(warehouse):
+    t = dict(warehouse["ods_poi_dim"].dtypes)
+    assert t["latitude"] == "decimal(10,6)" and t["poi_id"] == "string"
+    assert warehouse["ods_user_travel_sequence"].count() == 8
+
+
+def test_dwd(warehouse):
+    poi = {r.poi_id: r for r in warehouse["dwd_poi_info"].collect()}
+    assert set(poi) == {"p1", "p2", "p3", "p4", "p6"}
+    assert [poi[k].category for k in ("p1", "p2", "p3", "p4", "p6")] == [
+        "自然风光", "历史人文古迹", "都市地标", "主题游乐", "未分类"]
+    v = warehouse["dwd_user_travel_sequence_info"]
+    assert v.count() == 9
+    assert sorted(r.trip_id for r in v.select("trip_id").distinct().collect()) == [
+        "u1_2021-01-10", "u1_20210415", "u2_2020/12/1", "u2_2021/4/20", "u3_2021/7/1"]
+
+
+def test_user_month(warehouse):
+    um = _by(warehouse["dws_user_travel_month"], "blog_id", "travel_year", "travel_month")
+    r = um[("u1", 2021, 4)]
+    assert (r.trip_total_cnt, r.total_spot_cnt) == (1, 2)
+    assert r.city_visit_map == {"杭州": 1}                 # the unknown POI p5 adds no city key
+    assert r.partner_visit_map == {"Unrecorded": 2}
+    assert r.first_trip_date == r.last_trip_date == dt.date(2021, 4, 15)
+    r = um[("u2", 2021, 4)]
+    assert r.category_visit_map == {"都市地标": 2, "主题游乐": 1} and r.total_spot_cnt == 3
+    assert len(um) == 5
+
+
+def test_attraction_quarter(warehouse):
+    aq = _by(warehouse["dws_attraction_travel_quarter"], "poi_id", "travel_year", "travel_quarter")
+    assert len(aq) == 7
+    assert (aq[("p3", 2021, 2)].visit_total_cnt, aq[("p3", 2021, 2)].visit_cnt_growth_rate,
+            aq[("p3", 2021, 2)].is_hot_rising) == (2, 1.0, "是")          # bridged over 2021Q1
+    assert (aq[("p1", 2021, 2)].visit_cnt_growth_rate, aq[("p1", 2021, 2)].is_hot_rising) == (0.0, "否")
+    assert aq[("p2", 2021, 1)].is_hot_rising == "无上期数据"
+
+
+def test_city_quarter(warehouse):
+    cq = _by(warehouse["dws_city_travel_quarter"], "city", "travel_year", "travel_quarter")
+    r = cq[("上海", 2021, 2)]
+    assert (r.visit_trip_cnt, r.unique_attraction_cnt, r.partner_map, r.visit_cnt_growth_rate, r.is_hot_rising) == (
+        3, 2, {"Friends": 3}, 2.0, "是")
+    assert cq[("上海", 2021, 3)].visit_cnt_growth_rate == -0.6667
+    assert cq[("杭州", 2021, 2)].visit_cnt_growth_rate == -0.5
+
+
+def test_top_lists(warehouse):
+    tc = [(r.year_quarter, r.city, r.rank, r.top_partner, r.is_hot_rising)
+          for r in warehouse["ads_city_top10_last_year"].orderBy("year_quarter", "rank").collect()]
+    assert tc == [("2021Q1", "杭州", 1, ["Family"], "无上期数据"), ("2021Q2", "上海", 1, ["Friends"], "是"),
+                  ("2021Q2", "杭州", 2, ["Unrecorded"], "否"), ("2021Q3", "上海", 1, ["Solo"], "否")]
+    ta = [(r.year_quarter, r.poi_id, r.rank)
+          for r in warehouse["ads_top50_attractions_last_year"].orderBy("year_quarter", "rank").collect()]
+    assert ta == [("2021Q1", "p1", 1), ("2021Q1", "p2", 2), ("2021Q2", "p3", 1), ("2021Q2", "p1", 2),
+                  ("2021Q2", "p4", 3), ("2021Q3", "p4", 1)]
+
+
+def test_portrait(warehouse):
+    up = _by(warehouse["ads_user_portrait"], "blog_id")
+    u1 = up[("u1",)]
+    assert (u1.total_trips, u1.total_spots, u1.favorite_city, u1.favorite_category, u1.favorite_partner) == (
+        2, 4, ["杭州"], ["自然风光"], ["Family", "Unrecorded"])
+    assert (u1.user_level, u1.user_status) == ("中频", "活跃")
+    assert up[("u2",)].favorite_category == ["都市地标"]
+    assert {r.user_level for r in up.values()} == {"中频"}
+
+
+def test_partitioned_layout(warehouse, spark, tmp_path_factory):
+    import os
+    paths = table_paths(str(tmp_path_factory.getbasetemp() / "golden0" / "wh"))
+    visit_dir = paths["dwd_user_travel_sequence_info"]
+    assert os.path.isdir(os.path.join(visit_dir, "travel_year=2021", "travel_month=4"))

@@ -1,0 +1,42 @@
+"""Every registered query against its independent DuckDB SQL on the smallest test tables."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as E
+from scripts.compare_oracle import TABLES, digest
+from tests.conftest import SF_SMALL
+
+QUERIES = E.queries()
+SQL = E.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
+    for t in TABLES:
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    return c
+
+
+def test_every_query_has_oracle():
+    assert set(QUERIES) == set(SQL)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_matches_duckdb(spark, con, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    got = [tuple(r) for r in df.collect()]
+    cur = con.execute(SQL[name])
+    ocols = [d[0] for d in cur.description]
+    want = cur.fetchall()
+    assert sorted(df.columns) == sorted(ocols)
+    assert len(got) == len(want)
+    assert digest(df.columns, got) == digest(ocols, want)
+
+
+def test_entry(spark):
+    df = E.entry(spark)
+    assert df.columns == ["year_quarter", "city", "visit_trip_cnt", "unique_attraction_cnt", "top_partner", "rank",
+                          "is_hot_rising"]
+    assert df.count() > 0
