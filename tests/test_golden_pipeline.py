@@ -117,3 +117,16 @@ def test_partitioned_layout(warehouse, spark, tmp_path_factory):
     paths = table_paths(str(tmp_path_factory.getbasetemp() / "golden0" / "wh"))
     visit_dir = paths["dwd_user_travel_sequence_info"]
     assert os.path.isdir(os.path.join(visit_dir, "travel_year=2021", "travel_month=4"))
+
+
+def test_resume_skips_finished_tables(spark, tmp_path):
+    from wayfarer.plans.pipeline import is_complete
+    poi = spark.createDataFrame(POIS, ", ".join(f"{c} string" for c in POI_CSV_COLUMNS.values()))
+    trip = spark.createDataFrame(TRIPS, ", ".join(f"{c} string" for c in TRIP_CSV_COLUMNS.values()))
+    from wayfarer.schemas import ODS_POI, ODS_TRIP, conform
+    poi, trip = conform(poi, ODS_POI), conform(trip, ODS_TRIP)
+    t1, t2 = {}, {}
+    paths = run_pipeline(spark, poi, trip, str(tmp_path / "wh"), REFERENCE_PARAMS, timings=t1)
+    assert all(is_complete(spark, p) for p in paths.values())
+    run_pipeline(spark, poi, trip, str(tmp_path / "wh"), REFERENCE_PARAMS, timings=t2, resume=True)
+    assert len(t1) == 10 and t2 == {}

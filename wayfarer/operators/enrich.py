@@ -50,14 +50,14 @@ def join_dim(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "lef
         when the materialised side is small; otherwise a sort-merge join whose hot keys AQE
         splits (``spark.sql.adaptive.skewJoin``).
       * ``checked`` - hint a broadcast only after proving the dimension has at most
-        ``max_broadcast_rows`` rows; beyond that fall back to ``auto``.
+        ``max_broadcast_rows`` rows (one small job over the dimension); beyond that force a
+        sort-merge join, so a dimension that outgrew the bound is never broadcast.
       * ``never`` - force a shuffle (sort-merge) join.
     """
     on = list(on)
     dim = unique_by_key(dim, on, unique_key)
     if broadcast == "checked":
-        if fits_broadcast(dim, max_broadcast_rows):
-            dim = F.broadcast(dim)
+        dim = F.broadcast(dim) if fits_broadcast(dim, max_broadcast_rows) else dim.hint("shuffle_merge")
     elif broadcast == "never":
         dim = dim.hint("shuffle_merge")
     elif broadcast != "auto":

@@ -57,18 +57,25 @@ def load_ods(spark: SparkSession, poi_csv: str, trip_csv: str) -> tuple[DataFram
 # ---------------------------------------------------------------- DWD
 def clean_poi(ods_poi: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
     """POI dimension: drop rows without id/name/city, blank or missing label -> default label,
-    label split into tags, category from the ordered keyword rules on the label text."""
+    label split into tags, category from the ordered keyword rules on the label text, and
+    one row per POI id (``params.unique_poi``: the smallest by name, city, category, label).
+
+    Enforcing the key here, once, lets every roll-up join the dimension without re-checking
+    it; a repeated id would otherwise multiply the visits it is joined to."""
     df = ods_poi.select("poi_id", "name_zh", "city_zh", "label_zh")
     df = drop_null_keys(df, ["poi_id", "name_zh", "city_zh"])
     df = blanks_to_null(df, ["label_zh"])
     df = fill_default(df, params.label_default, ["label_zh"])
-    return df.select(
+    df = df.select(
         "poi_id",
         F.col("name_zh").alias("name"),
         F.col("city_zh").alias("city"),
         split_keep_empty("label_zh", params.label_sep).alias("label"),
         classify("label_zh", params.rules).alias("category"),
     )
+    if params.unique_poi == "first":
+        return dedupe(df, ["poi_id"], order=["name", "city", "category", "label"]).select(*_names(DWD_POI))
+    return unique_by_key(df, ["poi_id"], params.unique_poi)
 
 
 def parse_trips(ods_trip: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
@@ -103,8 +110,9 @@ def clean_trips(ods_trip: DataFrame, params: Params = REFERENCE_PARAMS) -> DataF
 
 # ---------------------------------------------------------------- DWS
 def poi_dim(dwd_poi: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
-    """The join-side dimension, unique on poi_id by ``params.unique_poi``."""
-    return unique_by_key(dwd_poi.select("poi_id", "name", "city", "category"), ["poi_id"], params.unique_poi)
+    """The join-side dimension (``params.poi_join_unique`` re-checks the key when the input
+    did not come from ``clean_poi``)."""
+    return unique_by_key(dwd_poi.select("poi_id", "name", "city", "category"), ["poi_id"], params.poi_join_unique)
 
 
 def user_month(visits: DataFrame, dwd_poi: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:

@@ -64,10 +64,10 @@ poi_kept AS (
 dwd_poi AS (
   SELECT poi_id, name_zh AS name, city_zh AS city, string_split(label_zh, ';') AS label,
          {_category_case('label_zh', p.rules)} AS category, label_zh
-  FROM poi_kept),
+  FROM poi_kept
+  QUALIFY row_number() OVER (PARTITION BY poi_id ORDER BY name, city, category, label) = 1),
 poi_u AS (
-  SELECT poi_id, name, city, category FROM dwd_poi
-  QUALIFY row_number() OVER (PARTITION BY poi_id ORDER BY name, city, category) = 1),
+  SELECT poi_id, name, city, category FROM dwd_poi),
 trip_kept AS (
   SELECT blog_id, departure_date, coalesce(travel_partners, {_q(p.partner_default)}) AS travel_partners,
          visit_sequence

@@ -26,10 +26,12 @@ class Params:
     year_min: int = 2011          # inclusive
     year_max: int = 2022          # exclusive
     rules: RuleSet = field(default=REFERENCE_RULES)
-    # dimension join
-    unique_poi: str = "first"     # "first" | "error" | "allow"
-    broadcast_poi: str = "auto"   # "auto" | "checked" | "never"
-    max_broadcast_rows: int = 2_000_000
+    # dimension: made unique on poi_id once, when the clean table is written
+    unique_poi: str = "first"          # "first" | "error" | "allow"
+    # dimension join in the roll-ups (the clean table is already unique, so no re-check)
+    poi_join_unique: str = "allow"     # "first" | "error" | "allow"
+    broadcast_poi: str = "checked"     # "checked" | "auto" | "never"
+    max_broadcast_rows: int = 500_000  # proven row bound for a broadcast; beyond it a sort-merge join
     # rollups
     null_map_key: str = "drop"    # "drop" | "error" | <label>
     # growth

@@ -22,16 +22,25 @@ def table_paths(warehouse: str) -> dict[str, str]:
     return {n: f"{warehouse.rstrip('/')}/{n.split('_')[0]}/{n}" for n in names}
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """True when a previous write of ``path`` finished (the committer's ``_SUCCESS`` marker)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
 def run_pipeline(spark: SparkSession, ods_poi: DataFrame, ods_trip: DataFrame, warehouse: str,
                  params: Params = REFERENCE_PARAMS, files_per_partition: int | None = None,
-                 timings: dict[str, float] | None = None) -> dict[str, str]:
+                 timings: dict[str, float] | None = None, resume: bool = False) -> dict[str, str]:
     """Write all ten tables under ``warehouse``; return their paths. ``timings`` (if given)
-    receives the wall time of each job's write."""
+    receives the wall time of each job's write. With ``resume``, tables whose write already
+    completed are kept, so a run that died part-way only redoes the unfinished jobs."""
     import time
 
     p = table_paths(warehouse)
 
     def step(name: str, df: DataFrame) -> None:
+        if resume and is_complete(spark, p[name]):
+            return
         t0 = time.perf_counter()
         write_layer(df, name, p[name], files_per_partition=files_per_partition)
         if timings is not None:

@@ -31,6 +31,25 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+def scale_conf(shuffle_bytes: int, target_partition_bytes: int = 256 << 20, cores: int = 8) -> dict[str, str]:
+    """Session settings for a run whose largest shuffle is about ``shuffle_bytes``.
+
+    Start with enough shuffle partitions for ~``target_partition_bytes`` each (never fewer
+    than the cores), and let AQE coalesce small ones and split skewed ones at run time.
+    """
+    parts = max(cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 << 20)),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
