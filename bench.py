@@ -4,7 +4,7 @@ Each job reads the Parquet layer its predecessor wrote and writes its own table
 warehouse runs in production). One warm-up run, then the median of BENCH_RUNS runs per job.
 Prints one JSON line.
 
-env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3)
+env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 5)
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ SHORT = {
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     spark = local_session(cpus, shuffle_partitions=cpus, app="wayfarer-bench")
     per_job: dict[str, list[float]] = {}
     walls = []

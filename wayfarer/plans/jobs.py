@@ -280,6 +280,5 @@ def top_cities(city_quarter_df: DataFrame, params: Params = REFERENCE_PARAMS) ->
 __all__ = [
     "load_ods", "clean_poi", "parse_trips", "dedupe_trips", "explode_visits", "clean_trips", "poi_dim",
     "user_month", "quarterly_visits", "attraction_quarter", "city_quarter", "user_totals", "user_status",
-    "user_level", "user_portrait", "top_attractions", "top_cities", "DWD_POI", "ADS_USER_PORTRAIT",
-    "DWS_USER_MONTH",
+    "user_level", "user_portrait", "top_attractions", "top_cities",
 ]
