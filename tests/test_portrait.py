@@ -42,3 +42,11 @@ def test_favourite_ties_sorted(spark):
     r = jobs.user_portrait(um, REFERENCE_PARAMS).first()
     assert r.favorite_city == ["m", "z"] and r.favorite_partner == ["D", "S"]
     assert rows(um.select("blog_id"))[0] == ("a",)
+
+
+def test_int_valued_maps(spark):
+    um = spark.createDataFrame([
+        ("a", 1, 3, {"c": 3}, {"k": 3}, {"S": 3}, None, dt.date(2021, 6, 1), 2021, 6),
+    ], UM.replace("map<string,bigint>", "map<string,int>").replace("bigint", "int"))
+    r = jobs.user_portrait(um, REFERENCE_PARAMS).first()
+    assert (r.total_trips, r.favorite_city, r.user_status) == (1, ["c"], "活跃")

@@ -183,7 +183,9 @@ _ENTRY = ArrayType(StructType([StructField("key", StringType()), StructField("va
 
 
 def _entries(map_col: str):
-    return F.coalesce(F.map_entries(map_col), F.array().cast(_ENTRY))
+    """Entries of a count map as (string key, bigint value) structs; [] for NULL (so concat of
+    several maps never turns NULL, and int-valued maps from older tables line up)."""
+    return F.coalesce(F.map_entries(F.col(map_col).cast("map<string,bigint>")), F.array().cast(_ENTRY))
 
 
 def user_totals(user_month_df: DataFrame) -> DataFrame:
