@@ -234,8 +234,8 @@ WHERE blog_id IS NOT NULL AND departure_date IS NOT NULL AND visit_sequence IS N
     "split_tags": "SELECT poi_id, array_to_string(label, '|') AS label FROM dwd_poi",
     "classify_rules": "SELECT poi_id, label_zh, category FROM dwd_poi",
     "parse_date_multi": """
-SELECT blog_id, departure_date, travel_partners, visit_sequence, CAST(travel_date AS VARCHAR) AS travel_date,
-       CAST(travel_year AS BIGINT) AS travel_year, CAST(travel_month AS BIGINT) AS travel_month FROM trip_parsed""",
+SELECT blog_id, departure_date, travel_partners, visit_sequence, CAST(travel_date AS VARCHAR) AS travel_date
+FROM trip_parsed""",
     "year_range": """
 SELECT blog_id, departure_date, CAST(travel_date AS VARCHAR) AS travel_date, CAST(travel_year AS BIGINT) AS travel_year
 FROM trip_in_range""",

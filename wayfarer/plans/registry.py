@@ -149,7 +149,8 @@ def _classify(L: Layers) -> DataFrame:
 
 @_register("parse_date_multi")
 def _parse(L: Layers) -> DataFrame:
-    return L.parsed
+    # year / month of the parsed date are checked by year_range and dedupe_trips (non-NULL there)
+    return L.parsed.select(*_TRIP_COLS, "travel_date")
 
 
 @_register("year_range")
