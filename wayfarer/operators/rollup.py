@@ -65,18 +65,21 @@ def kind_rollup(df: DataFrame, keys: Sequence[str], *, maps: Mapping[str, str] |
 
     carried = {f"_min{i}": c for i, c in enumerate(mins.values())}
     carried.update({f"_max{i}": c for i, c in enumerate(maxs.values())})
-    elems = []
+    stack_args = []
     for i, (what, _, c) in enumerate(kinds):
         key = null_key_expr(c, null_key) if what == "map" else F.col(c).cast("string")
-        elems.append(F.struct(F.lit(i).alias("kind"), key.alias("key")))
+        stack_args += [F.lit(i), key]
     w = F.col(weight) if weight else F.lit(1).cast("bigint")
+    # stack emits the (kind, key) rows without building an array of structs per input row
     expanded = df.select(*keys, w.alias("_w"), *[F.col(c).alias(a) for a, c in carried.items()],
-                         F.explode(F.array(*elems)).alias("_e"))
+                         F.stack(F.lit(len(kinds)), *stack_args).alias("kind", "key"))
 
+    # every input row appears once per kind, so min / max need to be carried by one kind only
+    first = F.col("kind") == 0
     level1_aggs = [F.sum("_w").alias("_n")]
-    level1_aggs += [F.min(a).alias(a) for a in carried if a.startswith("_min")]
-    level1_aggs += [F.max(a).alias(a) for a in carried if a.startswith("_max")]
-    level1 = expanded.groupBy(*keys, F.col("_e.kind").alias("kind"), F.col("_e.key").alias("key")).agg(*level1_aggs)
+    level1_aggs += [F.min(F.when(first, F.col(a))).alias(a) for a in carried if a.startswith("_min")]
+    level1_aggs += [F.max(F.when(first, F.col(a))).alias(a) for a in carried if a.startswith("_max")]
+    level1 = expanded.groupBy(*keys, "kind", "key").agg(*level1_aggs)
 
     kind, key, n = F.col("kind"), F.col("key"), F.col("_n")
     level2 = []

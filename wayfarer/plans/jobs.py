@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from wayfarer.functions.classify import classify
 from wayfarer.functions.dates import days_since, quarter_of_month
@@ -179,38 +179,30 @@ def city_quarter(visits: DataFrame, dwd_poi: DataFrame, params: Params = REFEREN
 
 
 # ---------------------------------------------------------------- ADS
-_ENTRY = ArrayType(StructType([StructField("key", StringType()), StructField("value", LongType())]))
-
-
-def _entries(map_col: str):
-    """Entries of a count map as (string key, bigint value) structs; [] for NULL (so concat of
-    several maps never turns NULL, and int-valued maps from older tables line up)."""
-    return F.coalesce(F.map_entries(F.col(map_col).cast("map<string,bigint>")), F.array().cast(_ENTRY))
-
-
 def user_totals(user_month_df: DataFrame) -> DataFrame:
     """Per user: totals, last trip, active years and the three maps summed over all months.
 
-    Map entries and one "year" row per user-month are expanded and summed per
-    (user, kind, key) before the shuffle to the user; per user only distinct keys are
-    collected (bounded by the number of cities, categories and companion types)."""
-    def tagged(kind: int, map_col: str):
-        return F.transform(_entries(map_col), lambda e: F.struct(
-            F.lit(kind).alias("kind"), e["key"].alias("key"), e["value"].alias("cnt"),
-            F.lit(None).cast("bigint").alias("trips"), F.lit(None).cast("bigint").alias("spots"),
-            F.lit(None).cast("date").alias("last")))
-
-    year_row = F.array(F.struct(
-        F.lit(3).alias("kind"), F.col("travel_year").cast("string").alias("key"),
-        F.lit(None).cast("bigint").alias("cnt"), F.col("trip_total_cnt").cast("bigint").alias("trips"),
-        F.col("total_spot_cnt").cast("bigint").alias("spots"), F.col("last_trip_date").alias("last")))
-    rows = user_month_df.select(
-        "blog_id",
-        F.explode(F.concat(tagged(0, "city_visit_map"), tagged(1, "category_visit_map"),
-                           tagged(2, "partner_visit_map"), year_row)).alias("e"))
-    level1 = rows.groupBy("blog_id", F.col("e.kind").alias("kind"), F.col("e.key").alias("key")).agg(
-        F.sum("e.cnt").alias("cnt"), F.sum("e.trips").alias("trips"), F.sum("e.spots").alias("spots"),
-        F.max("e.last").alias("last"))
+    The entries of each map (and one "year" row per user-month) become rows tagged with their
+    kind; they are summed per (user, kind, key) before the shuffle to the user, and per user only
+    distinct keys are collected (bounded by the number of cities, categories and companion
+    types). Each branch of the union reads only the user id and its own column."""
+    none_l, none_d = F.lit(None).cast("bigint"), F.lit(None).cast("date")
+
+    def entries(kind: int, map_col: str) -> DataFrame:
+        return user_month_df.select(
+            "blog_id", F.lit(kind).alias("kind"),
+            F.explode(F.col(map_col).cast("map<string,bigint>")).alias("key", "cnt"),
+            none_l.alias("trips"), none_l.alias("spots"), none_d.alias("last"))
+
+    years = user_month_df.select(
+        "blog_id", F.lit(3).alias("kind"), F.col("travel_year").cast("string").alias("key"), none_l.alias("cnt"),
+        F.col("trip_total_cnt").cast("bigint").alias("trips"), F.col("total_spot_cnt").cast("bigint").alias("spots"),
+        F.col("last_trip_date").alias("last"))
+    rows = (entries(0, "city_visit_map").unionByName(entries(1, "category_visit_map"))
+            .unionByName(entries(2, "partner_visit_map")).unionByName(years))
+    level1 = rows.groupBy("blog_id", "kind", "key").agg(
+        F.sum("cnt").alias("cnt"), F.sum("trips").alias("trips"), F.sum("spots").alias("spots"),
+        F.max("last").alias("last"))
     kind = F.col("kind")
 
     def summed(k: int):
