@@ -11,8 +11,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    s = local_session(4, shuffle_partitions=4, app="wayfarer-tests")
+def spark(tmp_path_factory):
+    warehouse = tmp_path_factory.mktemp("catalog")
+    s = local_session(4, shuffle_partitions=4, app="wayfarer-tests",
+                      extra={"spark.sql.warehouse.dir": str(warehouse)})
     yield s
 
 

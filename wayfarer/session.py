@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,7 +66,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder for one materialisation."""
     return f"{shared_dir(spark)}/wayfarer/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)
