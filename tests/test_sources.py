@@ -59,3 +59,20 @@ def test_scale_conf():
     assert int(c["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
     assert scale_conf(1)["spark.sql.shuffle.partitions"] == "8"
     assert c["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_dynamic_overwrite_keeps_other_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, 2020, "a"), (2, 2021, "b")], "v int, travel_year int, s string")
+    write_table(df, path, partition_by=("travel_year",))
+    write_table(spark.createDataFrame([(3, 2021, "c")], "v int, travel_year int, s string"), path,
+                partition_by=("travel_year",), overwrite="dynamic")
+    got = sorted((r.v, r.travel_year) for r in spark.read.parquet(path).collect())
+    assert got == [(1, 2020), (3, 2021)]
+
+
+def test_malformed_text_becomes_null(spark):
+    from pyspark.sql.types import DecimalType, StructField, StructType
+    df = spark.createDataFrame([("30.5",), ("n/a",)], "latitude string")
+    out = conform(df, StructType([StructField("latitude", DecimalType(10, 6))]))
+    assert [None if r[0] is None else str(r[0]) for r in out.collect()] == ["30.500000", None]

@@ -7,6 +7,7 @@ current job from stored inputs, and each job can be re-run on its own.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfarer.plans import jobs
@@ -24,8 +25,11 @@ def table_paths(warehouse: str) -> dict[str, str]:
 
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True when a previous write of ``path`` finished (the committer's ``_SUCCESS`` marker)."""
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+    try:
+        spark.read.text(f"{path}/_SUCCESS")
+        return True
+    except AnalysisException:
+        return False
 
 
 def run_pipeline(spark: SparkSession, ods_poi: DataFrame, ods_trip: DataFrame, warehouse: str,

@@ -70,8 +70,18 @@ TABLES: dict[str, tuple[StructType, tuple[str, ...]]] = {
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select the declared columns by name, in declared order, cast to the declared types."""
+    """Select the declared columns by name, in declared order, cast to the declared types.
+
+    Text parsed into another type (e.g. a CSV latitude into DECIMAL(10,6)) uses ``try_cast``: a
+    malformed value becomes NULL instead of failing the whole load under ANSI mode. Every
+    other conversion is a strict cast, so an overflowing count still raises."""
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}; have {df.columns}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    have = dict((f.name, f.dataType) for f in df.schema.fields)
+    cols = []
+    for f in schema.fields:
+        c = F.col(f.name)
+        parse = isinstance(have[f.name], StringType) and not isinstance(f.dataType, StringType)
+        cols.append((c.try_cast(f.dataType) if parse else c.cast(f.dataType)).alias(f.name))
+    return df.select(*cols)
