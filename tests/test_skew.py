@@ -11,7 +11,8 @@ import __spark_entry__ as E
 from scripts.compare_oracle import TABLES, digest
 from tests.conftest import SF_SMALL
 
-SKEWED = ["dedupe_trips", "clean_trips", "user_month", "attraction_quarter", "city_quarter", "user_portrait",
+SKEWED = ["dedupe_trips", "clean_trips", "user_month", "attraction_quarter", "city_quarter",
+          "city_quarter_from_attractions", "user_portrait",
           "top_attractions", "top_cities", "favorite_city"]
 
 

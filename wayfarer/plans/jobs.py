@@ -178,6 +178,31 @@ def city_quarter(visits: DataFrame, dwd_poi: DataFrame, params: Params = REFEREN
     return out.select(*_names(DWS_CITY_QUARTER))
 
 
+def city_quarter_from_attractions(attraction_quarter_df: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
+    """``city_quarter`` derived from the attraction-quarter table instead of the visits.
+
+    Same rows as ``city_quarter`` (visits and companion counts add up over a city's POIs; the
+    distinct attractions of a city-quarter are its POI rows), but the input is bounded by
+    POIs x quarters, so the pipeline reads the visit fact table once for both quarterly tables.
+    """
+    aq = attraction_quarter_df
+    pois = aq.select("city", *PERIOD_Q, F.lit(1).alias("kind"), F.col("poi_id").alias("key"),
+                     F.col("visit_total_cnt").alias("_w"))
+    partners = aq.select("city", *PERIOD_Q, F.lit(0).alias("kind"),
+                         F.explode(F.col("partner_map").cast("map<string,bigint>")).alias("key", "_w"))
+    level1 = pois.unionByName(partners).groupBy("city", *PERIOD_Q, "kind", "key").agg(F.sum("_w").alias("_n"))
+    kind, n = F.col("kind"), F.col("_n")
+    agg = level1.groupBy("city", *PERIOD_Q).agg(
+        F.sum(F.when(kind == 1, n)).alias("visit_trip_cnt"),
+        F.count(F.when(kind == 1, F.lit(1))).alias("unique_attraction_cnt"),
+        F.map_from_entries(F.collect_list(F.when(kind == 0, F.struct(F.col("key"), n.alias("value")))))
+        .alias("partner_map"),
+    )
+    out = period_over_period(agg, ["city"], "visit_trip_cnt", PERIOD_Q, 4, params.rising_threshold,
+                             params.growth_gap, params.rising_flags)
+    return out.select(*_names(DWS_CITY_QUARTER))
+
+
 # ---------------------------------------------------------------- ADS
 def user_totals(user_month_df: DataFrame) -> DataFrame:
     """Per user: totals, last trip, active years and the three maps summed over all months.
@@ -273,6 +298,7 @@ def top_cities(city_quarter_df: DataFrame, params: Params = REFERENCE_PARAMS) ->
 
 __all__ = [
     "load_ods", "clean_poi", "parse_trips", "dedupe_trips", "explode_visits", "clean_trips", "poi_dim",
-    "user_month", "quarterly_visits", "attraction_quarter", "city_quarter", "user_totals", "user_status",
+    "user_month", "quarterly_visits", "attraction_quarter", "city_quarter", "city_quarter_from_attractions",
+    "user_totals", "user_status",
     "user_level", "user_portrait", "top_attractions", "top_cities",
 ]

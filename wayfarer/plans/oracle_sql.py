@@ -285,6 +285,9 @@ SELECT poi_id, CAST(travel_year AS BIGINT) AS travel_year, CAST(travel_quarter A
          AS is_hot_rising
 FROM aq_strict""",
     "city_quarter": """
+SELECT city, visit_trip_cnt, unique_attraction_cnt, partner_map, visit_cnt_growth_rate, is_hot_rising,
+       travel_year, travel_quarter FROM city_quarter""",
+    "city_quarter_from_attractions": """
 SELECT city, visit_trip_cnt, unique_attraction_cnt, partner_map, visit_cnt_growth_rate, is_hot_rising,
        travel_year, travel_quarter FROM city_quarter""",
     "top_partner": "SELECT poi_id, travel_year, travel_quarter, top_partner FROM attraction_quarter",

@@ -60,7 +60,8 @@ def run_pipeline(spark: SparkSession, ods_poi: DataFrame, ods_trip: DataFrame, w
     visits, pois = rd("dwd_user_travel_sequence_info"), rd("dwd_poi_info")
     step("dws_user_travel_month", jobs.user_month(visits, pois, params))
     step("dws_attraction_travel_quarter", jobs.attraction_quarter(visits, pois, params))
-    step("dws_city_travel_quarter", jobs.city_quarter(visits, pois, params))
+    # the city roll-up reads the (small) attraction table, not the visits a second time
+    step("dws_city_travel_quarter", jobs.city_quarter_from_attractions(rd("dws_attraction_travel_quarter"), params))
     step("ads_user_portrait", jobs.user_portrait(rd("dws_user_travel_month"), params))
     step("ads_top50_attractions_last_year",
          jobs.top_attractions(read_year(spark, p["dws_attraction_travel_quarter"], params.ranking_year), params))

@@ -243,6 +243,11 @@ def _cq(L: Layers) -> DataFrame:
     return L.city_quarter
 
 
+@_register("city_quarter_from_attractions")
+def _cq_from_aq(L: Layers) -> DataFrame:
+    return jobs.city_quarter_from_attractions(L.attraction_quarter, L.params)
+
+
 @_register("top_partner")
 def _top_partner(L: Layers) -> DataFrame:
     return L.attraction_quarter.select("poi_id", "travel_year", "travel_quarter",
