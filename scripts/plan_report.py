@@ -69,6 +69,8 @@ def main() -> None:
         ("user_month", jobs.user_month(visits, pois, P)),
         ("attraction_quarter", jobs.attraction_quarter(visits, pois, P)),
         ("city_quarter", jobs.city_quarter(visits, pois, P)),
+        ("city_quarter_from_attractions",
+         jobs.city_quarter_from_attractions(rd("dws_attraction_travel_quarter"), P)),
         ("user_portrait", jobs.user_portrait(rd("dws_user_travel_month"), P)),
         ("top_attractions", jobs.top_attractions(read_year(spark, paths["dws_attraction_travel_quarter"],
                                                            P.ranking_year), P)),
