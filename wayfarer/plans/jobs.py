@@ -267,7 +267,7 @@ def user_portrait(user_month_df: DataFrame, params: Params = REFERENCE_PARAMS) -
         top_keys("partner_total_map").alias("favorite_partner"),
         user_level("total_trips", "active_years", params).alias("user_level"),
         user_status("last_trip_date", params).alias("user_status"),
-    )
+    ).select(*_names(ADS_USER_PORTRAIT))
 
 
 def top_attractions(attraction_quarter_df: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
