@@ -130,3 +130,18 @@ def test_resume_skips_finished_tables(spark, tmp_path):
     assert all(is_complete(spark, p) for p in paths.values())
     run_pipeline(spark, poi, trip, str(tmp_path / "wh"), REFERENCE_PARAMS, timings=t2, resume=True)
     assert len(t1) == 10 and t2 == {}
+
+
+def test_command_line(spark, tmp_path):
+    from wayfarer.__main__ import main
+    ods_poi = spark.createDataFrame(POIS, ", ".join(f"{c} string" for c in POI_CSV_COLUMNS.values()))
+    ods_trip = spark.createDataFrame(TRIPS, ", ".join(f"{c} string" for c in TRIP_CSV_COLUMNS.values()))
+    write_source_csv(ods_poi, str(tmp_path / "p.csv"), POI_CSV_COLUMNS)
+    write_source_csv(ods_trip, str(tmp_path / "t.csv"), TRIP_CSV_COLUMNS)
+    wh = str(tmp_path / "wh")
+    paths = main(["--warehouse", wh, "--poi-csv", str(tmp_path / "p.csv"), "--trip-csv", str(tmp_path / "t.csv")])
+    n = read_table(spark, paths["ads_city_top10_last_year"]).count()
+    assert n == 4
+    # re-run one later table from the stored layers only
+    main(["--warehouse", wh, "--only", "ads_user_portrait"])
+    assert read_table(spark, paths["ads_user_portrait"]).count() == 3

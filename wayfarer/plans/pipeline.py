@@ -7,6 +7,8 @@ current job from stored inputs, and each job can be re-run on its own.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +17,6 @@ from wayfarer.plans.params import REFERENCE_PARAMS, Params
 from wayfarer.sources.tables import read_table, read_year, write_layer
 
 
-
 def table_paths(warehouse: str) -> dict[str, str]:
     names = ["ods_poi_dim", "ods_user_travel_sequence", "dwd_poi_info", "dwd_user_travel_sequence_info",
              "dws_user_travel_month", "dws_attraction_travel_quarter", "dws_city_travel_quarter",
@@ -32,39 +33,46 @@ def is_complete(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def run_pipeline(spark: SparkSession, ods_poi: DataFrame, ods_trip: DataFrame, warehouse: str,
+def run_pipeline(spark: SparkSession, ods_poi: DataFrame | None, ods_trip: DataFrame | None, warehouse: str,
                  params: Params = REFERENCE_PARAMS, files_per_partition: int | None = None,
-                 timings: dict[str, float] | None = None, resume: bool = False) -> dict[str, str]:
+                 timings: dict[str, float] | None = None, resume: bool = False,
+                 only: set[str] | None = None) -> dict[str, str]:
     """Write all ten tables under ``warehouse``; return their paths. ``timings`` (if given)
     receives the wall time of each job's write. With ``resume``, tables whose write already
-    completed are kept, so a run that died part-way only redoes the unfinished jobs."""
+    completed are kept, so a run that died part-way only redoes the unfinished jobs. ``only``
+    restricts the run to the named tables (their inputs must already be written)."""
     import time
 
     p = table_paths(warehouse)
 
-    def step(name: str, df: DataFrame) -> None:
+    def step(name: str, build: Callable[[], DataFrame]) -> None:
+        """Write table ``name`` from ``build()``; inputs are read only when the step runs."""
+        if only is not None and name not in only:
+            return
         if resume and is_complete(spark, p[name]):
             return
         t0 = time.perf_counter()
-        write_layer(df, name, p[name], files_per_partition=files_per_partition)
+        write_layer(build(), name, p[name], files_per_partition=files_per_partition)
         if timings is not None:
             timings[name] = time.perf_counter() - t0
 
     def rd(name: str) -> DataFrame:
         return read_table(spark, p[name])
 
-    step("ods_poi_dim", ods_poi)
-    step("ods_user_travel_sequence", ods_trip)
-    step("dwd_poi_info", jobs.clean_poi(rd("ods_poi_dim"), params))
-    step("dwd_user_travel_sequence_info", jobs.clean_trips(rd("ods_user_travel_sequence"), params))
-    visits, pois = rd("dwd_user_travel_sequence_info"), rd("dwd_poi_info")
-    step("dws_user_travel_month", jobs.user_month(visits, pois, params))
-    step("dws_attraction_travel_quarter", jobs.attraction_quarter(visits, pois, params))
+    step("ods_poi_dim", lambda: ods_poi)
+    step("ods_user_travel_sequence", lambda: ods_trip)
+    step("dwd_poi_info", lambda: jobs.clean_poi(rd("ods_poi_dim"), params))
+    step("dwd_user_travel_sequence_info", lambda: jobs.clean_trips(rd("ods_user_travel_sequence"), params))
+    step("dws_user_travel_month",
+         lambda: jobs.user_month(rd("dwd_user_travel_sequence_info"), rd("dwd_poi_info"), params))
+    step("dws_attraction_travel_quarter",
+         lambda: jobs.attraction_quarter(rd("dwd_user_travel_sequence_info"), rd("dwd_poi_info"), params))
     # the city roll-up reads the (small) attraction table, not the visits a second time
-    step("dws_city_travel_quarter", jobs.city_quarter_from_attractions(rd("dws_attraction_travel_quarter"), params))
-    step("ads_user_portrait", jobs.user_portrait(rd("dws_user_travel_month"), params))
-    step("ads_top50_attractions_last_year",
-         jobs.top_attractions(read_year(spark, p["dws_attraction_travel_quarter"], params.ranking_year), params))
-    step("ads_city_top10_last_year",
-         jobs.top_cities(read_year(spark, p["dws_city_travel_quarter"], params.ranking_year), params))
+    step("dws_city_travel_quarter",
+         lambda: jobs.city_quarter_from_attractions(rd("dws_attraction_travel_quarter"), params))
+    step("ads_user_portrait", lambda: jobs.user_portrait(rd("dws_user_travel_month"), params))
+    step("ads_top50_attractions_last_year", lambda: jobs.top_attractions(
+        read_year(spark, p["dws_attraction_travel_quarter"], params.ranking_year), params))
+    step("ads_city_top10_last_year", lambda: jobs.top_cities(
+        read_year(spark, p["dws_city_travel_quarter"], params.ranking_year), params))
     return p
