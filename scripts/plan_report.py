@@ -27,6 +27,22 @@ KEEP = re.compile(r"(Exchange|BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|B
                   r"AQEShuffleRead|TakeOrderedAndProject|Sort \[)")
 
 
+NOTES = """What to look for, job by job:
+
+* **clean_poi / clean_trips**: one shuffle each (the de-dup), with partial aggregation before it; null-key
+  filters are pushed into the Parquet scan and only the needed columns are read. The year-range filter sits
+  under the de-dup aggregate.
+* **user_month**: broadcast dimension (`BroadcastHashJoin LeftOuter`), `stack` expansion, then two
+  aggregations with one exchange each; no joins between aggregates, no cache.
+* **attraction_quarter**: exchange 1 = pre-aggregation per (POI, quarter, companions); the dimension is joined to
+  the reduced rows; exchange 2 = hash by POI, reused by both the aggregate and the `lag` window.
+* **city_quarter_from_attractions** (used by the pipeline): reads the attraction table instead of the visits; the
+  last two exchanges run on already-aggregated city rows.
+* **top_attractions / top_cities**: `PartitionFilters` on the ranking year, `WindowGroupLimit` partial before the
+  exchange and final after it.
+"""
+
+
 def _clean(line: str) -> str:
     line = re.sub(r"#\d+L?", "", line)
     line = re.sub(r", \[plan_id=\d+\]", "", line)
@@ -79,6 +95,7 @@ def main() -> None:
     print(f"# Executed plans ({os.path.basename(sf_dir)}, local[8], AQE on)\n")
     print("Generated by `scripts/plan_report.py`: each job reads the layer its predecessor wrote; the final adaptive")
     print("plan is reduced to exchanges, joins, aggregates, windows and scans.\n")
+    print(NOTES)
     for name, df in cases:
         lines = summarise(df)
         n_ex = sum(1 for line in lines if re.match(r"\s*Exchange (hash|range|Single|Round)", line))
