@@ -83,3 +83,11 @@ def test_no_python_in_jobs(L):
         p = plan(df)
         assert "Python" not in p and "ArrowEval" not in p
     assert F is not None
+
+
+def test_portrait_shuffles_only_by_user(L):
+    p = plan(jobs.user_portrait(L.user_month, P))
+    top = p.split("Union")[0]  # the portrait's own operators, above the map-expanding union
+    assert "Exchange" not in top
+    branches = re.findall(r"Exchange hashpartitioning\(([^)]*)\), REPARTITION_BY_COL", p)
+    assert len(branches) == 4 and all(b.startswith("blog_id#") for b in branches)

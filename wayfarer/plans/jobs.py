@@ -208,9 +208,14 @@ def user_totals(user_month_df: DataFrame) -> DataFrame:
     """Per user: totals, last trip, active years and the three maps summed over all months.
 
     The entries of each map (and one "year" row per user-month) become rows tagged with their
-    kind; they are summed per (user, kind, key) before the shuffle to the user, and per user only
-    distinct keys are collected (bounded by the number of cities, categories and companion
-    types). Each branch of the union reads only the user id and its own column."""
+    kind, summed per (user, kind, key), and per user only distinct keys are collected (bounded by
+    the number of cities, categories and companion types).
+
+    The input holds at most one row per user and month, so however many visits a user has, the
+    user's rows are bounded by the number of months: the table is hashed by user once, and both
+    aggregations and the collect then run without another shuffle (Catalyst pushes the
+    repartition into every union branch, each shuffling only the user id and its own column)."""
+    user_month_df = user_month_df.repartition("blog_id")
     none_l, none_d = F.lit(None).cast("bigint"), F.lit(None).cast("date")
 
     def entries(kind: int, map_col: str) -> DataFrame:
