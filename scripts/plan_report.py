@@ -36,6 +36,8 @@ NOTES = """What to look for, job by job:
   aggregations with one exchange each; no joins between aggregates, no cache.
 * **attraction_quarter**: exchange 1 = pre-aggregation per (POI, quarter, companions); the dimension is joined to
   the reduced rows; exchange 2 = hash by POI, reused by both the aggregate and the `lag` window.
+* **user_portrait**: one hash by user pushed into the four union branches (the input has at most one row per
+  user and month); both aggregations and the collect run without another exchange.
 * **city_quarter_from_attractions** (used by the pipeline): reads the attraction table instead of the visits; the
   last two exchanges run on already-aggregated city rows.
 * **top_attractions / top_cities**: `PartitionFilters` on the ranking year, `WindowGroupLimit` partial before the
