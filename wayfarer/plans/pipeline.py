@@ -27,7 +27,7 @@ def table_paths(warehouse: str) -> dict[str, str]:
 def is_complete(spark: SparkSession, path: str) -> bool:
     """True when a previous write of ``path`` finished (the committer's ``_SUCCESS`` marker)."""
     try:
-        spark.read.text(f"{path}/_SUCCESS")
+        spark.read.text(f"{path}/_SUCCESS").schema  # resolves the path (also over Spark Connect)
         return True
     except AnalysisException:
         return False

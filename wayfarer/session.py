@@ -55,11 +55,18 @@ def shared_dir(spark: SparkSession) -> str:
     On a cluster this must be set (HDFS / object store). Only when it is unset, as in local
     tests, a local temporary folder is created and registered as the checkpoint dir.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext  # not available over Spark Connect
+    except Exception:  # noqa: BLE001
+        sc = None
+    if not configured and sc is not None:
+        configured = sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     local = tempfile.mkdtemp(prefix="wayfarer-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 
