@@ -278,6 +278,9 @@ FROM (SELECT b.blog_id, b.travel_year, b.travel_month, c.m FROM um_base b LEFT J
     "attraction_quarter": """
 SELECT poi_id, name, city, category, visit_total_cnt, partner_map, visit_cnt_growth_rate, is_hot_rising,
        travel_year, travel_quarter FROM attraction_quarter""",
+    "attraction_growth_bridge": """
+SELECT poi_id, travel_year, travel_quarter, visit_total_cnt, visit_cnt_growth_rate FROM attraction_quarter""",
+    "rising_flag": "SELECT city, travel_year, travel_quarter, visit_trip_cnt, is_hot_rising FROM city_quarter",
     "attraction_growth_strict": """
 SELECT poi_id, CAST(travel_year AS BIGINT) AS travel_year, CAST(travel_quarter AS BIGINT) AS travel_quarter,
        visit_total_cnt, srate AS visit_cnt_growth_rate,

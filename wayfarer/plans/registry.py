@@ -231,6 +231,17 @@ def _aq(L: Layers) -> DataFrame:
     return L.attraction_quarter
 
 
+@_register("attraction_growth_bridge")
+def _aq_bridge(L: Layers) -> DataFrame:
+    return L.attraction_quarter.select("poi_id", "travel_year", "travel_quarter", "visit_total_cnt",
+                                       "visit_cnt_growth_rate")
+
+
+@_register("rising_flag")
+def _rising(L: Layers) -> DataFrame:
+    return L.city_quarter.select("city", "travel_year", "travel_quarter", "visit_trip_cnt", "is_hot_rising")
+
+
 @_register("attraction_growth_strict")
 def _aq_strict(L: Layers) -> DataFrame:
     strict = jobs.attraction_quarter(L.visits, L.dwd_poi, L.params.with_(growth_gap="strict"))
