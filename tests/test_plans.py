@@ -91,3 +91,16 @@ def test_portrait_shuffles_only_by_user(L):
     assert "Exchange" not in top
     branches = re.findall(r"Exchange hashpartitioning\(([^)]*)\), REPARTITION_BY_COL", p)
     assert len(branches) == 4 and all(b.startswith("blog_id#") for b in branches)
+
+
+def test_sort_merge_fallback_adds_no_shuffle(spark, L, tmp_path):
+    # a dimension that may not be broadcast: the join's hash by POI is the partitioning the
+    # aggregate and the growth window reuse, so the explicit repartition costs nothing extra
+    path = str(tmp_path / "visits")
+    write_layer(L.visits, "dwd_user_travel_sequence_info", path)
+    df = jobs.attraction_quarter(spark.read.parquet(path), L.dwd_poi, P.with_(broadcast_poi="never"))
+    p = final_plan(df)
+    assert "SortMergeJoin" in p and "REPARTITION_BY_COL" not in p
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
+    fact = [k for k in keys if "travel_quarter" in k or re.fullmatch(r"poi_id#\d+, \d+", k)]
+    assert len(fact) == 3, keys  # pre-aggregation, join (fact side), join (dimension side)
