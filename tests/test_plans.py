@@ -104,3 +104,13 @@ def test_sort_merge_fallback_adds_no_shuffle(spark, L, tmp_path):
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", p)
     fact = [k for k in keys if "travel_quarter" in k or re.fullmatch(r"poi_id#\d+, \d+", k)]
     assert len(fact) == 3, keys  # pre-aggregation, join (fact side), join (dimension side)
+
+
+def test_trip_cleaning_pushes_null_filters(spark, L, tmp_path):
+    path = str(tmp_path / "ods_trip")
+    L.ods_trip.write.parquet(path)
+    p = plan(jobs.clean_trips(spark.read.parquet(path), P))
+    scan = [line for line in p.splitlines() if "FileScan parquet" in line][0]
+    for c in ("blog_id", "departure_date", "visit_sequence"):
+        assert f"IsNotNull({c})" in scan
+    assert "retrieval_date" not in scan.split("ReadSchema")[1]

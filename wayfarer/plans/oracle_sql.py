@@ -163,8 +163,15 @@ cq_top AS (
 cq_g AS (
   SELECT *, {growth} AS rate
   FROM (SELECT *, visit_trip_cnt AS cur,
-               lag(visit_trip_cnt) OVER (PARTITION BY city ORDER BY travel_year, travel_quarter) AS prev
+               lag(visit_trip_cnt) OVER (PARTITION BY city ORDER BY travel_year, travel_quarter) AS prev,
+               lag(travel_year * 4 + travel_quarter - 1) OVER (PARTITION BY city ORDER BY travel_year, travel_quarter)
+                 AS prev_idx
         FROM cq_agg)),
+cq_strict AS (
+  SELECT *, CASE WHEN sprev IS NOT NULL AND sprev > 0 THEN round((cur - sprev) / sprev, 4) ELSE 0 END AS srate
+  FROM (SELECT *, CASE WHEN prev_idx IS NULL THEN NULL
+                       WHEN prev_idx = travel_year * 4 + travel_quarter - 2 THEN prev ELSE 0 END AS sprev
+        FROM cq_g)),
 city_quarter AS (
   SELECT a.city, a.visit_trip_cnt, a.unique_attraction_cnt, m.partner_map, a.rate AS visit_cnt_growth_rate,
          CASE WHEN a.prev IS NULL THEN {none_flag} WHEN a.rate > {p.rising_threshold} THEN {yes_flag} ELSE {no_flag} END
@@ -293,6 +300,12 @@ SELECT city, visit_trip_cnt, unique_attraction_cnt, partner_map, visit_cnt_growt
     "city_quarter_from_attractions": """
 SELECT city, visit_trip_cnt, unique_attraction_cnt, partner_map, visit_cnt_growth_rate, is_hot_rising,
        travel_year, travel_quarter FROM city_quarter""",
+    "city_growth_strict": """
+SELECT city, CAST(travel_year AS BIGINT) AS travel_year, CAST(travel_quarter AS BIGINT) AS travel_quarter,
+       visit_trip_cnt, srate AS visit_cnt_growth_rate,
+       CASE WHEN sprev IS NULL THEN {none_flag} WHEN srate > {threshold} THEN {yes_flag} ELSE {no_flag} END
+         AS is_hot_rising
+FROM cq_strict""",
     "top_partner": "SELECT poi_id, travel_year, travel_quarter, top_partner FROM attraction_quarter",
     "favorite_city": "SELECT blog_id, fav AS favorite_city FROM fav_city",
     "favorite_category": "SELECT blog_id, fav AS favorite_category FROM fav_cat",

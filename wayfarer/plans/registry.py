@@ -254,6 +254,13 @@ def _cq(L: Layers) -> DataFrame:
     return L.city_quarter
 
 
+@_register("city_growth_strict")
+def _cq_strict(L: Layers) -> DataFrame:
+    strict = jobs.city_quarter(L.visits, L.dwd_poi, L.params.with_(growth_gap="strict"))
+    return strict.select("city", "travel_year", "travel_quarter", "visit_trip_cnt", "visit_cnt_growth_rate",
+                         "is_hot_rising")
+
+
 @_register("city_quarter_from_attractions")
 def _cq_from_aq(L: Layers) -> DataFrame:
     return jobs.city_quarter_from_attractions(L.attraction_quarter, L.params)
