@@ -76,3 +76,15 @@ def test_malformed_text_becomes_null(spark):
     df = spark.createDataFrame([("30.5",), ("n/a",)], "latitude string")
     out = conform(df, StructType([StructField("latitude", DecimalType(10, 6))]))
     assert [None if r[0] is None else str(r[0]) for r in out.collect()] == ["30.500000", None]
+
+
+def test_files_per_partition_layout(spark, tmp_path):
+    import os
+    path = str(tmp_path / "salted")
+    rows = [(i, 2020 + i % 2, f"s{i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "v int, travel_year int, s string").repartition(8)
+    write_table(df, path, partition_by=("travel_year",), files_per_partition=2)
+    for year in (2020, 2021):
+        files = [f for f in os.listdir(os.path.join(path, f"travel_year={year}")) if f.endswith(".parquet")]
+        assert 1 <= len(files) <= 2
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == list(range(400))
