@@ -333,6 +333,23 @@ SELECT column_name, row_cnt, null_cnt, blank_cnt, min_value, max_value FROM (
   UNION ALL
   SELECT 'visit_sequence', count(*), count(*) - count(visit_sequence),
          count(*) FILTER (WHERE trim(visit_sequence) = ''), min(visit_sequence), max(visit_sequence) FROM ods_trip)""",
+    "quality_report_poi": """
+SELECT column_name, row_cnt, null_cnt, blank_cnt, min_value, max_value FROM (
+  SELECT 'poi_id' AS column_name, count(*) AS row_cnt, count(*) - count(poi_id) AS null_cnt,
+         count(*) FILTER (WHERE trim(poi_id) = '') AS blank_cnt, min(poi_id) AS min_value, max(poi_id) AS max_value
+  FROM ods_poi
+  UNION ALL
+  SELECT 'name_zh' AS column_name, count(*) AS row_cnt, count(*) - count(name_zh) AS null_cnt,
+         count(*) FILTER (WHERE trim(name_zh) = '') AS blank_cnt, min(name_zh) AS min_value, max(name_zh) AS max_value
+  FROM ods_poi
+  UNION ALL
+  SELECT 'city_zh' AS column_name, count(*) AS row_cnt, count(*) - count(city_zh) AS null_cnt,
+         count(*) FILTER (WHERE trim(city_zh) = '') AS blank_cnt, min(city_zh) AS min_value, max(city_zh) AS max_value
+  FROM ods_poi
+  UNION ALL
+  SELECT 'label_zh' AS column_name, count(*) AS row_cnt, count(*) - count(label_zh) AS null_cnt,
+         count(*) FILTER (WHERE trim(label_zh) = '') AS blank_cnt, min(label_zh) AS min_value, max(label_zh) AS max_value
+  FROM ods_poi)""",
     "date_parse_failures": """
 SELECT departure_date, count(*) AS row_cnt FROM trip_parsed WHERE travel_date IS NULL GROUP BY departure_date""",
     "duplicate_trips": """

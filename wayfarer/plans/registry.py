@@ -335,6 +335,11 @@ def _quality(L: Layers) -> DataFrame:
     return column_profile(L.ods_trip, ["blog_id", "departure_date", "travel_partners", "visit_sequence"])
 
 
+@_register("quality_report_poi")
+def _quality_poi(L: Layers) -> DataFrame:
+    return column_profile(L.ods_poi, ["poi_id", "name_zh", "city_zh", "label_zh"])
+
+
 @_register("date_parse_failures")
 def _parse_fail(L: Layers) -> DataFrame:
     return parse_failures(L.parsed, "departure_date", "travel_date")
