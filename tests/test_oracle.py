@@ -6,9 +6,11 @@ import pytest
 import __spark_entry__ as E
 from scripts.compare_oracle import TABLES, digest
 from tests.conftest import SF_SMALL
+from wayfarer.plans import FIXTURE_PARAMS, registry
+from wayfarer.plans.oracle_sql import oracle_sql
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = registry.queries(FIXTURE_PARAMS)
+SQL = oracle_sql(FIXTURE_PARAMS)
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +23,8 @@ def con():
 
 def test_every_query_has_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries())
+    assert set(SQL) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
