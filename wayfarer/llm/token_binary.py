@@ -28,7 +28,7 @@ from wayfarer.session import scratch_path
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 BLOCK_IDS = 1 << 16  # a block is closed at the first document that reaches this many ids
-CACHE_PIECES = 2_000_000  # distinct pieces of text whose ids a worker remembers, about 60 bytes each
+CACHE_PIECES = 1_000_000  # distinct pieces of text whose ids a worker remembers, about 60 bytes each
 BLOCKS, PARTS = "blocks", "parts"
 BLOCK_SCHEMA = ("part int, block int, before long, bits int, n_ids long, doc_ids array<long>, "
                 "n_tokens array<long>, payload binary")
@@ -242,7 +242,7 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _slices(texts: list[str], size: int = 1 << 22) -> Iterator[tuple[int, int]]:
+def _slices(texts: list[str], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Runs of texts of about ``size`` characters together."""
     start = total = 0
     for k, t in enumerate(texts):
