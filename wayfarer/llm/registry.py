@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayfarer.llm import exact_dedup, license_scan, token_binary, url_filter
+from wayfarer.llm import (
+    decontaminate,
+    exact_dedup,
+    license_scan,
+    mixing,
+    pii_surrogates,
+    quality_classifier,
+    secret_scan,
+    token_binary,
+    url_filter,
+)
 from wayfarer.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,17 +30,40 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(read(spark, sf_dir, "documents"))
 
 
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_surrogates.pseudonymise(read(spark, sf_dir, "documents"))
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"))
+
+
 def op5_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_binary.token_binary(read(spark, sf_dir, "documents"))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_scan(read(spark, sf_dir, "documents"))
+
+
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(read(spark, sf_dir, "pages"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_exact_dedup, op2_license_scan, op5_token_binary, op10_url_filter)}
+    found = (op1_exact_dedup, op2_license_scan, op3_pii_surrogates, op4_mixing, op5_token_binary, op6_quality_classifier,
+             op8_secret_scan, op9_decontaminate, op10_url_filter)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op10_url_filter": url_filter.ORACLE_SQL}
+    return {"op1_exact_dedup": exact_dedup.ORACLE_SQL, "op8_secret_scan": secret_scan.ORACLE_SQL,
+            "op9_decontaminate": decontaminate.ORACLE_SQL, "op10_url_filter": url_filter.ORACLE_SQL}
