@@ -11,6 +11,7 @@ from wayfarer.llm import (
     exact_dedup,
     license_scan,
     mixing,
+    ngram_join,
     pii_surrogates,
     quality_classifier,
     secret_scan,
@@ -46,6 +47,10 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(read(spark, sf_dir, "documents"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_scan(read(spark, sf_dir, "documents"))
 
@@ -60,7 +65,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found = (op1_exact_dedup, op2_license_scan, op3_pii_surrogates, op4_mixing, op5_token_binary, op6_quality_classifier,
-             op8_secret_scan, op9_decontaminate, op10_url_filter)
+             op7_ngram_join, op8_secret_scan, op9_decontaminate, op10_url_filter)
     return {f.__name__: f for f in found}
 
 
