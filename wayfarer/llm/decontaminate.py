@@ -153,7 +153,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     """``docs`` without the rows whose id is contaminated."""
     bad = decontaminate(docs, items, id_col=id_col, text_col=text_col, **options).where("contaminated")
     bad = bad.select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad"]), "left_anti")
 
 
 # DuckDB: windows as joined text, matched by a plain equality join of all word runs.

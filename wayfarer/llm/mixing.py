@@ -99,6 +99,13 @@ def cell_probabilities(docs: DataFrame, targets=TARGETS, keep_share: float = KEE
     return cells.withColumn("_p", F.round(F.least(F.lit(1.0), wanted / F.col("_tokens")), 9))
 
 
+def _facts(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str) -> DataFrame:
+    text = text_or_empty(text_col)
+    return docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(source_col).cast("string"), F.lit(UNKNOWN)).alias("source"),
+                       F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), topic(text).alias("topic"),
+                       tokens(text).alias("_n"))
+
+
 def mix(docs: DataFrame, targets=TARGETS, keep_share: float = KEEP_SHARE, seed: str = SEED, rounds: int = ROUNDS,
         id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
     """One row per row of ``docs``: ``id_col``, source, lang, topic, n_tokens, probability, kept.
@@ -108,11 +115,24 @@ def mix(docs: DataFrame, targets=TARGETS, keep_share: float = KEEP_SHARE, seed:
     document is repeated), so its share stays below the target. Rows that repeat an id are decided
     alike. An empty table gives an empty result. Other columns are not read.
     """
-    text = text_or_empty(text_col)
-    facts = stored(docs.select(F.col(id_col).alias("_id"), F.coalesce(source_col, F.lit(UNKNOWN)).alias("source"),
-                               F.coalesce(lang_col, F.lit(UNKNOWN)).alias("lang"), topic(text).alias("topic"),
-                               tokens(text).alias("_n")), "document-facts")
+    facts = stored(_facts(docs, id_col, text_col, source_col, lang_col), "document-facts")
     cells = cell_probabilities(facts, targets, keep_share, rounds).select(*DIMENSIONS, "_p")
-    out = facts.join(cells, list(DIMENSIONS), "left").withColumn("_p", F.coalesce("_p", F.lit(0.0)))
-    return out.select(F.col("_id").alias(id_col), *DIMENSIONS, F.col("_n").alias("n_tokens"), F.col("_p").alias("probability"),
-                      (uniform(seed, F.col("_id")) < F.col("_p")).alias("kept"))
+    out = facts.join(cells, list(DIMENSIONS), "left")
+    probability = F.when(F.col("_n") > 0, F.coalesce("_p", F.lit(0.0))).otherwise(0.0)
+    return out.select(F.col("_id").alias(id_col), *DIMENSIONS, F.col("_n").alias("n_tokens"), probability.alias("probability"),
+                      (uniform(seed, F.col("_id")) < probability).alias("kept"))
+
+
+def sample(docs: DataFrame, targets=TARGETS, keep_share: float = KEEP_SHARE, seed: str = SEED, rounds: int = ROUNDS,
+           id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` that ``mix`` keeps, with all their columns. Only the cells' table is joined:
+    a row's own text gives its cell and its id the draw."""
+    facts = _facts(docs, id_col, text_col, source_col, lang_col)
+    cells = cell_probabilities(stored(facts, "document-facts"), targets, keep_share, rounds)
+    names = [f"__mix_{d}" for d in DIMENSIONS]
+    cells = cells.select(*[F.col(d).alias(n) for d, n in zip(DIMENSIONS, names, strict=True)], F.col("_p").alias("__mix_p"))
+    text = text_or_empty(text_col)
+    own = [F.coalesce(F.col(source_col).cast("string"), F.lit(UNKNOWN)), F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)),
+           topic(text)]
+    rows = docs.select("*", *[c.alias(n) for c, n in zip(own, names, strict=True)]).where(text.rlike(r"[^\x20\x09-\x0D]"))
+    return rows.join(cells, names).where(uniform(seed, F.col(id_col)) < F.col("__mix_p")).select(*docs.columns)

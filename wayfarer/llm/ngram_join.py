@@ -327,7 +327,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     shingles or without an id stay. If several rows repeat a kept id, one of them stays."""
     found = ngram_join(docs, id_col, text_col)
     gone = found.where((F.col("n_shingles") > 0) & (F.col(id_col) != F.col("component_id"))).select(F.col(id_col).alias("_gone")).distinct()
-    kept = docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    kept = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
     repeated = found.where(F.col("n_shingles") > 0).groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     if repeated.where(F.col(id_col).isNotNull()).isEmpty():
         return kept
