@@ -48,6 +48,7 @@ MORE_RULES = (
 )
 
 MOST_STRINGS = 32  # alternatives of a literal kept while a query is derived
+SPREAD = 32  # tasks that a trigram's posting list is dealt over
 ALL = ("all",)  # the query that every document fulfils
 
 
@@ -131,12 +132,14 @@ def _fulfils(query: tuple, number: dict[str, int], found: Column) -> Column:
 
 
 def write_index(docs: DataFrame, trigrams: list[str], path: str) -> None:
-    """Postings (_tri, _id, _key) under ``path``, one folder for each trigram. A common trigram's
-    list is spread over tasks by the key, so no task holds a whole list."""
-    text = F.lower("_text")  # folds more than ASCII: a superset, verified later
-    found = F.array(*[F.when(text.contains(g), F.lit(i)) for i, g in enumerate(trigrams)])
-    postings = docs.select("_id", "_key", F.explode(F.array_compact(found)).alias("_tri"))
-    postings.repartitionByRange("_tri", "_key").write.partitionBy("_tri").parquet(path)
+    """Postings (_tri, _id, _key) under ``path``, one folder for each trigram. A trigram's list is dealt
+    over ``SPREAD`` tasks by the key, so no task holds the whole list of a common one."""
+    # ``lower`` folds more than ASCII: a superset, verified later. It is a column of its own, as within
+    # the array it would be repeated for each trigram
+    low = docs.select("_id", "_key", F.lower("_text").alias("_low"))
+    found = F.array_compact(F.array(*[F.when(F.col("_low").contains(g), F.lit(i)) for i, g in enumerate(trigrams)]))
+    postings = low.select("_id", "_key", F.explode(found).alias("_tri"))
+    postings.repartition("_tri", F.pmod("_key", F.lit(SPREAD))).write.partitionBy("_tri").parquet(path)
 
 
 def candidates(index: DataFrame, queries: dict[int, tuple], trigrams: list[str]) -> DataFrame:
