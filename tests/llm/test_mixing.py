@@ -1,0 +1,100 @@
+import hashlib
+from collections import defaultdict
+
+import pytest
+
+from tests.llm.conftest import path
+from wayfarer.llm import mixing as M
+
+
+def brute(cells, targets, rounds, keep):
+    """Raking of {(source, lang, topic): tokens} with plain dictionaries."""
+    total = sum(cells.values())
+    weight = {c: n / total for c, n in cells.items()}
+    share = []
+    for d, t in enumerate(targets.values()):
+        values = defaultdict(float)
+        for c, n in cells.items():
+            values[c[d]] += n
+        if t is None:
+            raw = dict.fromkeys(values, 1.0)
+        else:
+            rest = max(0.0, 1 - sum(t.values()))
+            free = sum(n for v, n in values.items() if v not in t)
+            raw = {v: t[v] if v in t else rest * n / free for v, n in values.items()}
+        share.append({v: x / sum(raw.values()) for v, x in raw.items()})
+    for _ in range(rounds):
+        for d in range(3):
+            sums = defaultdict(float)
+            for c, w in weight.items():
+                sums[c[d]] += w
+            weight = {c: w * share[d][c[d]] / sums[c[d]] for c, w in weight.items()}
+    return {c: min(1.0, total * keep * w / sum(weight.values()) / cells[c]) for c, w in weight.items()}, weight, share
+
+
+def drawn(seed, i):
+    return int(hashlib.md5(f"{seed}|{i}".encode()).hexdigest()[:12], 16) / (1 << 48)
+
+
+@pytest.fixture(scope="module")
+def mixed(spark):
+    return M.mix(spark.read.parquet(path("documents", "sf0.01"))).collect()
+
+
+def test_probabilities_are_raked(mixed):
+    cells = defaultdict(int)
+    for r in mixed:
+        if r.n_tokens:
+            cells[r.source, r.lang, r.topic] += r.n_tokens
+    want, weight, share = brute(cells, M.TARGETS, M.ROUNDS, M.KEEP_SHARE)
+    for r in mixed:
+        if r.n_tokens:
+            assert r.probability == pytest.approx(want[r.source, r.lang, r.topic], abs=2e-9)
+        assert r.kept == (drawn(M.SEED, r.doc_id) < r.probability)
+    for d in range(3):  # the raked weights meet the targets
+        for value, s in share[d].items():
+            assert sum(w for c, w in weight.items() if c[d] == value) == pytest.approx(s, abs=0.01)
+
+
+def test_facts(spark, mixed):
+    texts = {r.doc_id: r for r in spark.read.parquet(path("documents", "sf0.01")).collect()}
+    for r in mixed:
+        t = texts[r.doc_id]
+        assert (r.source, r.lang, r.n_tokens) == (t.source, t.lang, len(t.text.split()))
+    assert len(mixed) == len(texts) and len({r.topic for r in mixed}) > 2
+
+
+def test_kept_shares_approach_the_targets(mixed):
+    total = sum(r.n_tokens for r in mixed)
+    expected = sum(r.n_tokens * r.probability for r in mixed)
+    assert expected <= total * M.KEEP_SHARE * 1.001
+    kept = sum(r.n_tokens for r in mixed if r.kept)
+    assert kept == pytest.approx(expected, rel=0.15)
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, topic string, _n int, __mix_p string")
+
+
+def test_special_rows(spark):
+    rows = [(1, "a b", None, None, "t", 1, "x"), (2, None, "en", "s", "t", 1, "x"), (3, " ", "en", "s", "t", 1, "x"),
+            (4, "w " * 40_000, "en", "s", "t", 1, "x"), (None, "c", "xx", "s", "t", 1, "x"), (5, "c d", "en", "s", "t", 1, "x"), (5, "c d", "en", "s", "t", 1, "x")]
+    found = M.mix(table(spark, rows)).collect()
+    assert len(found) == 7
+    by = {r.doc_id: r for r in found}
+    assert (by[1].source, by[1].lang) == ("?", "?")
+    assert [(by[i].n_tokens, by[i].probability, by[i].kept) for i in (2, 3)] == [(0, 0.0, False)] * 2
+    assert len({r.kept for r in found if r.doc_id == 5}) == 1
+
+
+def test_sample_keeps_the_same_rows(spark):
+    docs = spark.read.parquet(path("documents"))
+    kept = {r.doc_id for r in M.mix(docs).where("kept").collect()}
+    rows = M.sample(docs)
+    assert rows.columns == docs.columns
+    assert sorted(r.doc_id for r in rows.collect()) == sorted(kept)
+
+
+def test_empty_table(spark):
+    assert M.mix(table(spark, [])).collect() == []
+    assert M.sample(table(spark, [])).collect() == []
