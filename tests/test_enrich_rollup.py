@@ -31,20 +31,28 @@ def test_unique_key_policies(fact, dim):
     assert unique_by_key(dim.filter("name != 'Zed'"), ["poi_id"], "error").count() == 2
 
 
-@pytest.mark.parametrize("mode", ["auto", "checked", "never"])
+@pytest.mark.parametrize("mode", ["auto", "never"])
 def test_broadcast_modes_same_rows(fact, dim, mode):
-    out = join_dim(fact, dim, ["poi_id"], how="left", broadcast=mode, max_broadcast_rows=10)
+    out = join_dim(fact, dim, ["poi_id"], how="left", broadcast=mode)
     assert rows(out, "poi_id", "city") == [("p1", "c2"), ("p1", "c2"), ("p9", None)]
     plan = out._jdf.queryExecution().executedPlan().toString()
-    if mode == "checked":
-        assert "BroadcastHashJoin" in plan
     if mode == "never":
         assert "SortMergeJoin" in plan
 
 
-def test_checked_broadcast_falls_back_when_too_big(fact, dim):
-    out = join_dim(fact, dim, ["poi_id"], how="left", broadcast="checked", max_broadcast_rows=1)
-    assert out.count() == 3
+def test_broadcast_is_checked_in_bytes(spark, tmp_path):
+    fact = spark.range(1000).selectExpr("cast(id % 50 as string) AS poi_id")
+    spark.range(50).selectExpr("cast(id as string) AS poi_id", "id AS v").write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit, join in (("10m", "BroadcastHashJoin"), ("1", "SortMergeJoin")):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            out = join_dim(fact, dim, ["poi_id"], unique_key="allow")
+            assert join in out._jdf.queryExecution().executedPlan().toString()
+            assert out.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 @pytest.fixture

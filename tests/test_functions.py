@@ -107,3 +107,14 @@ def test_functions_stay_in_codegen(spark):
     plan = df.select(parse_date_multi("d"), split_keep_empty("s"), classify("s", FIXTURE_RULES))
     assert "PythonUDF" not in plan._jdf.queryExecution().executedPlan().toString()
     assert F is not None
+
+
+def test_optional_sections_are_parsed(spark):
+    formats = ("yyyy/M/d", "yyyy-MM-dd[ HH:mm]", "yyyyMMdd['T'HH]", "d.M.yyyy['x']")
+    texts = ["2020-01-05", "2020-01-05 10:30", "2020/1/5", "20200105", "20200105T07", "5.1.2020", "5.1.2020x", "junk", "2020-01-05 10"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.coalesce(*[F.try_to_date("t", f) for f in formats])
+    for r in df.select("t", parse_date_multi("t", formats).alias("guarded"), plain.alias("plain")).collect():
+        assert r.guarded == r.plain, r
+    got = [r[0] for r in df.select(parse_date_multi("t", formats)).collect()]
+    assert all(got[:7]) and got[7:] == [None, None]

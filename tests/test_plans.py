@@ -85,12 +85,46 @@ def test_no_python_in_jobs(L):
     assert F is not None
 
 
-def test_portrait_shuffles_only_by_user(L):
-    p = plan(jobs.user_portrait(L.user_month, P))
-    top = p.split("Union")[0]  # the portrait's own operators, above the map-expanding union
-    assert "Exchange" not in top
-    branches = re.findall(r"Exchange hashpartitioning\(([^)]*)\), REPARTITION_BY_COL", p)
-    assert len(branches) == 4 and all(b.startswith("blog_id#") for b in branches)
+def test_portrait_reads_and_shuffles_once(spark, L, tmp_path):
+    path = str(tmp_path / "um")
+    write_layer(L.user_month, "dws_user_travel_month", path)
+    p = plan(jobs.user_portrait(spark.read.parquet(path), P))
+    assert p.count("FileScan") == 1
+    assert re.findall(r"Exchange hashpartitioning\((\w+)#", p) == ["blog_id"] and p.count("Exchange") == 1
+
+
+def test_user_month_moves_the_visits_once(spark, L, tmp_path):
+    path, dim = str(tmp_path / "visits"), str(tmp_path / "poi")
+    write_layer(L.visits, "dwd_user_travel_sequence_info", path)
+    write_layer(L.dwd_poi, "dwd_poi_info", dim)
+    p = plan(jobs.user_month(spark.read.parquet(path), spark.read.parquet(dim), P))
+    usual, hot = p.split("LeftSemi")[0], p.split("LeftAnti")[0]
+    assert "Union" in p and hot != p
+    moved = re.findall(r"Exchange hashpartitioning\(([^)]*)\), REPARTITION_BY_COL", p)
+    assert len(moved) == 1 and [k.split("#")[0].strip() for k in moved[0].split(",")[:3]] == jobs.USER_MONTH
+    above = p[:p.index("REPARTITION_BY_COL")]
+    assert above.count("Exchange") == 1, usual  # nothing is shuffled again above it
+    assert "SinglePartition" not in p
+
+
+def test_trips_are_laid_out_before_they_are_exploded(L):
+    p = plan(jobs.clean_trips(L.ods_trip, P, lay_out=True))
+    assert 0 <= p.index("Generate explode") < p.index("REBALANCE_PARTITIONS")
+
+
+def test_building_a_job_runs_nothing(spark, L, tmp_path):
+    path, dim = str(tmp_path / "visits"), str(tmp_path / "poi")
+    write_layer(L.visits, "dwd_user_travel_sequence_info", path)
+    write_layer(L.dwd_poi, "dwd_poi_info", dim)
+    visits, poi = spark.read.parquet(path), spark.read.parquet(dim)
+    group = "building"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        for job in (jobs.user_month, jobs.attraction_quarter, jobs.city_quarter):
+            job(visits, poi, P)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_sort_merge_fallback_adds_no_shuffle(spark, L, tmp_path):

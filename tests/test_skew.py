@@ -56,6 +56,18 @@ def test_skewed_matches_duckdb(spark, skew_dir, name):
     assert digest(df.columns, got) == digest(ocols, want)
 
 
+def test_hot_user_month_is_spread(spark, skew_dir):
+    """With a low bound the hot user-months take the other route; the rows are the same."""
+    from wayfarer.plans import FIXTURE_PARAMS, jobs
+    from wayfarer.plans.registry import Layers, canonical
+    L = Layers(spark, skew_dir, FIXTURE_PARAMS)
+    usual = {tuple(r) for r in canonical(L.user_month).collect()}
+    split = canonical(jobs.user_month(L.visits, L.dwd_poi, FIXTURE_PARAMS.with_(hot_user_month_visits=20)))
+    assert {tuple(r) for r in split.collect()} == usual
+    most = max(r[0] for r in L.user_month.select("total_spot_cnt").collect())
+    assert most > 20
+
+
 def test_skew_is_real(spark, skew_dir):
     from wayfarer.plans import FIXTURE_PARAMS
     from wayfarer.plans.registry import Layers

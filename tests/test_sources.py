@@ -71,6 +71,54 @@ def test_dynamic_overwrite_keeps_other_partitions(spark, tmp_path):
     assert got == [(1, 2020), (3, 2021)]
 
 
+def test_dynamic_overwrite_of_a_catalog_table_keeps_other_partitions(spark, tmp_path):
+    create_layer_databases(spark)
+    df = spark.createDataFrame([(1, 2020, "a"), (2, 2021, "b")], "v int, travel_year int, s string")
+    for k in range(2):  # the first write makes the table, also in dynamic mode
+        write_table(df, "dws.kept", partition_by=("travel_year",), as_table=True, location=str(tmp_path / "kept"),
+                    overwrite="dynamic" if k else "static")
+    new = spark.createDataFrame([("c", 2021, 3)], "s string, travel_year int, v int")  # other column order
+    write_table(new, "dws.kept", partition_by=("travel_year",), as_table=True, overwrite="dynamic")
+    got = sorted((r.v, r.travel_year, r.s) for r in spark.table("dws.kept").collect())
+    assert got == [(1, 2020, "a"), (3, 2021, "c")]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_csv_files_with_another_header_fail(spark, tmp_path):
+    path = tmp_path / "mixed"
+    path.mkdir()
+    (path / "a.csv").write_text("A,B\n1,2\n")
+    (path / "b.csv").write_text("B,A\n4,3\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv_mapped(spark, str(path), {"A": "a", "B": "b"}).collect()
+    (path / "b.csv").write_text("A,B\n3,4\n")
+    got = sorted(tuple(r) for r in read_csv_mapped(spark, str(path), {"B": "b", "A": "a"}).collect())
+    assert got == [("2", "1"), ("4", "3")]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from wayfarer import session
+
+    def fake(master):
+        sc = SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda d: None)
+        return SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda name, default=None: default))
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.shared_dir(fake(master))
+    assert session.shared_dir(fake("local[2]"))
+
+
+def test_comments_reach_catalog_tables(spark, tmp_path):
+    create_layer_databases(spark)
+    schema, _ = TABLES["dwd_poi_info"]
+    write_table(spark.createDataFrame([], schema), "dwd.commented", schema, as_table=True, location=str(tmp_path / "c"))
+    comments = {r.col_name: r.comment for r in spark.sql("DESCRIBE dwd.commented").collect()}
+    assert comments == {f.name: f.metadata["comment"] for f in schema.fields}
+
+
 def test_malformed_text_becomes_null(spark):
     from pyspark.sql.types import DecimalType, StructField, StructType
     df = spark.createDataFrame([("30.5",), ("n/a",)], "latitude string")

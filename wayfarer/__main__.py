@@ -39,7 +39,6 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--top-attractions", type=int, default=d.top_attractions)
     ap.add_argument("--top-cities", type=int, default=d.top_cities)
     ap.add_argument("--growth-gap", choices=["bridge", "strict"], default=d.growth_gap)
-    ap.add_argument("--max-broadcast-rows", type=int, default=d.max_broadcast_rows)
     return ap.parse_args(argv)
 
 
@@ -47,8 +46,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     a = parse_args(argv)
     params = REFERENCE_PARAMS.with_(
         year_min=a.year_min, year_max=a.year_max, ranking_year=a.ranking_year, reference_date=a.reference_date,
-        top_attractions=a.top_attractions, top_cities=a.top_cities, growth_gap=a.growth_gap,
-        max_broadcast_rows=a.max_broadcast_rows)
+        top_attractions=a.top_attractions, top_cities=a.top_cities, growth_gap=a.growth_gap)
     spark = SparkSession.builder.appName("wayfarer").getOrCreate()
     poi = trip = None
     if a.poi_csv or a.trip_csv:

@@ -16,7 +16,11 @@ def _col(c: str | Column) -> Column:
 
 
 def format_literals(fmt: str) -> list[str]:
-    """Literal (non-pattern) characters of a datetime pattern: separators and quoted text."""
+    """Characters that every text matching a datetime pattern contains: separators and quoted text.
+
+    None are named for a pattern with an optional section (``[...]``): its literals need not occur."""
+    if "[" in fmt:
+        return []
     out, quoted, i = [], False, 0
     while i < len(fmt):
         ch = fmt[i]
@@ -38,7 +42,8 @@ def parse_date_multi(c: str | Column, formats: Sequence[str] = REFERENCE_DATE_FO
     ``try_to_date`` keeps this safe under ANSI mode, where ``to_date`` raises on the first
     value that does not match one of the formats. A format is only attempted when the text
     contains all of its literal characters (a necessary condition for a match, so results
-    are unchanged): a failed parse is expensive, and this skips nearly all of them.
+    are unchanged; formats with optional sections are always attempted): a failed parse is
+    expensive, and this skips nearly all of them.
     """
     c = _col(c)
     parsed = []

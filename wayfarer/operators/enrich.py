@@ -1,4 +1,4 @@
-"""Fact-to-dimension joins with a size-checked broadcast and a policy for duplicate keys."""
+"""Fact-to-dimension joins with Spark's size-checked broadcast and a policy for duplicate keys."""
 
 from __future__ import annotations
 
@@ -34,31 +34,20 @@ def unique_by_key(dim: DataFrame, keys: Sequence[str], policy: str = "first") ->
     raise ValueError(f"unknown unique-key policy {policy!r}")
 
 
-def fits_broadcast(dim: DataFrame, max_rows: int) -> bool:
-    """Proves the dimension has at most ``max_rows`` rows (stops reading after max_rows + 1)."""
-    return dim.limit(max_rows + 1).count() <= max_rows
-
-
-def join_dim(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left",
-             broadcast: str = "auto", max_broadcast_rows: int = 2_000_000,
+def join_dim(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left", broadcast: str = "auto",
              unique_key: str = "first") -> DataFrame:
     """Join a fact table to a dimension on ``on``.
 
     ``broadcast``:
       * ``auto`` - no hint: Spark broadcasts when the planner's size estimate is under
-        ``spark.sql.autoBroadcastJoinThreshold`` and AQE switches to a broadcast at run time
-        when the materialised side is small; otherwise a sort-merge join whose hot keys AQE
-        splits (``spark.sql.adaptive.skewJoin``).
-      * ``checked`` - hint a broadcast only after proving the dimension has at most
-        ``max_broadcast_rows`` rows (one small job over the dimension); beyond that force a
-        sort-merge join, so a dimension that outgrew the bound is never broadcast.
+        ``spark.sql.autoBroadcastJoinThreshold`` bytes and AQE switches to a broadcast at run time
+        when the materialised side is that small; otherwise a sort-merge join whose hot keys AQE
+        splits (``spark.sql.adaptive.skewJoin``). Nothing runs while the plan is built.
       * ``never`` - force a shuffle (sort-merge) join.
     """
     on = list(on)
     dim = unique_by_key(dim, on, unique_key)
-    if broadcast == "checked":
-        dim = F.broadcast(dim) if fits_broadcast(dim, max_broadcast_rows) else dim.hint("shuffle_merge")
-    elif broadcast == "never":
+    if broadcast == "never":
         dim = dim.hint("shuffle_merge")
     elif broadcast != "auto":
         raise ValueError(f"unknown broadcast mode {broadcast!r}")

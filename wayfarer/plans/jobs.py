@@ -103,9 +103,15 @@ def explode_visits(trips: DataFrame, params: Params = REFERENCE_PARAMS) -> DataF
     return df.select(*_names(DWD_VISIT))
 
 
-def clean_trips(ods_trip: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
-    """Visit fact table (one row per trip and visited POI)."""
-    return explode_visits(dedupe_trips(parse_trips(ods_trip, params), params), params)
+def clean_trips(ods_trip: DataFrame, params: Params = REFERENCE_PARAMS, lay_out: bool = False) -> DataFrame:
+    """Visit fact table (one row per trip and visited POI).
+
+    ``lay_out`` rebalances the trips on the table's partition columns before they are exploded, so the
+    layout of the write moves trips and not their visits."""
+    trips = dedupe_trips(parse_trips(ods_trip, params), params)
+    if lay_out:
+        trips = trips.hint("rebalance", "travel_year", "travel_month")
+    return explode_visits(trips, params)
 
 
 # ---------------------------------------------------------------- DWS
@@ -119,21 +125,30 @@ def user_month(visits: DataFrame, dwd_poi: DataFrame, params: Params = REFERENCE
     """Per user and month: distinct trips, visits, first/last date and three distribution maps.
 
     Visits to unknown POIs are kept (left join): they count as visits but add no city or
-    category key. One expand + two aggregations instead of four aggregates joined together.
-    """
+    category key. The visits are hashed by user and month once, and both levels of the roll-up reuse
+    that partitioning: one exchange of the narrow visits instead of one of each (kind, key) entry.
+
+    A user-month of more than ``params.hot_user_month_visits`` visits would fill its task; these few
+    (at most all visits over that number, which bounds the broadcast) take the roll-up's own two
+    exchanges instead, counted per (kind, key) over all tasks before they meet."""
     dim = poi_dim(dwd_poi, params).select("poi_id", "city", "category")
-    j = join_dim(visits, dim, ["poi_id"], how="left", broadcast=params.broadcast_poi,
-                 max_broadcast_rows=params.max_broadcast_rows, unique_key="allow")
-    out = kind_rollup(
-        j, USER_MONTH,
-        maps={"city_visit_map": "city", "category_visit_map": "category",
-              "partner_visit_map": "travel_partners"},
-        distinct_counts={"trip_total_cnt": "trip_id"},
-        row_count="total_spot_cnt",
-        mins={"first_trip_date": "travel_date"}, maxs={"last_trip_date": "travel_date"},
-        null_key=params.null_map_key,
-    )
-    return out.select(*_names(DWS_USER_MONTH))
+    hot = visits.groupBy(*USER_MONTH).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > params.hot_user_month_visits)
+    hot = F.broadcast(hot.select(*USER_MONTH))
+
+    def rolled(part: DataFrame, one_hash: bool) -> DataFrame:
+        j = join_dim(part, dim, ["poi_id"], how="left", broadcast=params.broadcast_poi, unique_key="allow")
+        return kind_rollup(
+            j.repartition(*USER_MONTH) if one_hash else j, USER_MONTH,
+            maps={"city_visit_map": "city", "category_visit_map": "category",
+                  "partner_visit_map": "travel_partners"},
+            distinct_counts={"trip_total_cnt": "trip_id"},
+            row_count="total_spot_cnt",
+            mins={"first_trip_date": "travel_date"}, maxs={"last_trip_date": "travel_date"},
+            null_key=params.null_map_key,
+        ).select(*_names(DWS_USER_MONTH))
+
+    usual = rolled(visits.join(hot, USER_MONTH, "left_anti"), True)
+    return usual.unionByName(rolled(visits.join(hot, USER_MONTH, "left_semi"), False))
 
 
 def quarterly_visits(visits: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
@@ -149,17 +164,19 @@ def quarterly_visits(visits: DataFrame, params: Params = REFERENCE_PARAMS) -> Da
 def attraction_quarter(visits: DataFrame, dwd_poi: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
     """Per attraction and quarter: visits, companion map, growth against the previous quarter."""
     pre = quarterly_visits(visits, params)
-    j = join_dim(pre, poi_dim(dwd_poi, params), ["poi_id"], how="inner", broadcast=params.broadcast_poi,
-                 max_broadcast_rows=params.max_broadcast_rows, unique_key="allow")
+    j = join_dim(pre, poi_dim(dwd_poi, params), ["poi_id"], how="inner", broadcast=params.broadcast_poi, unique_key="allow")
     # rows per POI are bounded by quarters x companion types: hash them by POI once, so the
     # aggregation and the growth window both reuse this partitioning (no further shuffle)
     j = j.repartition("poi_id")
+    # several dimension rows of one id and name (``unique_poi="allow"``) count together
+    j = j.groupBy("poi_id", "name", "city", "category", *PERIOD_Q, "travel_partners").agg(F.sum("_n").alias("_n"))
     agg = j.groupBy("poi_id", "name", "city", "category", *PERIOD_Q).agg(
         F.sum("_n").alias("visit_total_cnt"),
         F.map_from_entries(F.collect_list(map_entry(F.col("travel_partners"), F.col("_n"), params.null_map_key)))
         .alias("partner_map"),
     )
-    out = period_over_period(agg, ["poi_id"], "visit_total_cnt", PERIOD_Q, 4, params.rising_threshold,
+    # an attraction is its id and names: duplicates that are allowed grow separately
+    out = period_over_period(agg, ["poi_id", "name", "city", "category"], "visit_total_cnt", PERIOD_Q, 4, params.rising_threshold,
                              params.growth_gap, params.rising_flags)
     return out.select(*_names(DWS_ATTRACTION_QUARTER))
 
@@ -168,8 +185,7 @@ def city_quarter(visits: DataFrame, dwd_poi: DataFrame, params: Params = REFEREN
     """Per city and quarter: visits, distinct attractions, companion map and growth."""
     pre = quarterly_visits(visits, params)
     dim = poi_dim(dwd_poi, params).select("poi_id", "city")
-    j = join_dim(pre, dim, ["poi_id"], how="inner", broadcast=params.broadcast_poi,
-                 max_broadcast_rows=params.max_broadcast_rows, unique_key="allow")
+    j = join_dim(pre, dim, ["poi_id"], how="inner", broadcast=params.broadcast_poi, unique_key="allow")
     agg = kind_rollup(j, ["city", *PERIOD_Q], maps={"partner_map": "travel_partners"},
                       distinct_counts={"unique_attraction_cnt": "poi_id"}, row_count="visit_trip_cnt",
                       weight="_n", null_key=params.null_map_key)
@@ -212,24 +228,23 @@ def user_totals(user_month_df: DataFrame) -> DataFrame:
     the number of cities, categories and companion types).
 
     The input holds at most one row per user and month, so however many visits a user has, the
-    user's rows are bounded by the number of months: the table is hashed by user once, and both
-    aggregations and the collect then run without another shuffle (Catalyst pushes the
-    repartition into every union branch, each shuffling only the user id and its own column)."""
-    user_month_df = user_month_df.repartition("blog_id")
+    user's rows are bounded by the number of months: the table is read once and hashed by user
+    once, and the expansion, both aggregations and the collect then run without another shuffle."""
+    hashed = user_month_df.repartition("blog_id")
     none_l, none_d = F.lit(None).cast("bigint"), F.lit(None).cast("date")
 
-    def entries(kind: int, map_col: str) -> DataFrame:
-        return user_month_df.select(
-            "blog_id", F.lit(kind).alias("kind"),
-            F.explode(F.col(map_col).cast("map<string,bigint>")).alias("key", "cnt"),
-            none_l.alias("trips"), none_l.alias("spots"), none_d.alias("last"))
+    def entries(kind: int, map_col: str):
+        return F.transform(F.map_entries(F.col(map_col).cast("map<string,bigint>")), lambda e: F.struct(
+            F.lit(kind).alias("kind"), e["key"].alias("key"), e["value"].alias("cnt"),
+            none_l.alias("trips"), none_l.alias("spots"), none_d.alias("last")))
 
-    years = user_month_df.select(
-        "blog_id", F.lit(3).alias("kind"), F.col("travel_year").cast("string").alias("key"), none_l.alias("cnt"),
+    year = F.array(F.struct(
+        F.lit(3).alias("kind"), F.col("travel_year").cast("string").alias("key"), none_l.alias("cnt"),
         F.col("trip_total_cnt").cast("bigint").alias("trips"), F.col("total_spot_cnt").cast("bigint").alias("spots"),
-        F.col("last_trip_date").alias("last"))
-    rows = (entries(0, "city_visit_map").unionByName(entries(1, "category_visit_map"))
-            .unionByName(entries(2, "partner_visit_map")).unionByName(years))
+        F.col("last_trip_date").alias("last")))
+    maps = [F.coalesce(entries(k, c), F.array()) for k, c in enumerate(
+        ("city_visit_map", "category_visit_map", "partner_visit_map"))]
+    rows = hashed.select("blog_id", F.inline(F.concat(year, *maps)))
     level1 = rows.groupBy("blog_id", "kind", "key").agg(
         F.sum("cnt").alias("cnt"), F.sum("trips").alias("trips"), F.sum("spots").alias("spots"),
         F.max("last").alias("last"))
@@ -289,16 +304,17 @@ def top_attractions(attraction_quarter_df: DataFrame, params: Params = REFERENCE
     ).select(*_names(ADS_TOP_ATTRACTIONS))
 
 
-def top_cities(city_quarter_df: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
-    """Top-N cities per quarter of the ranking year, ties broken by city, ordered by quarter and rank."""
+def top_cities(city_quarter_df: DataFrame, params: Params = REFERENCE_PARAMS, with_growth: bool = False) -> DataFrame:
+    """Top-N cities per quarter of the ranking year, ties broken by city, ordered by quarter and rank;
+    ``with_growth`` adds the growth rate behind the declared columns."""
     df = city_quarter_df.filter(F.col("travel_year") == params.ranking_year)
     ranked = top_n_per_group(df, PERIOD_Q, [F.col("visit_trip_cnt").desc(), F.col("city")], params.top_cities)
     return ranked.select(
         period_label("travel_year", "travel_quarter").alias("year_quarter"),
         "city", "visit_trip_cnt", "unique_attraction_cnt",
         top_keys("partner_map").alias("top_partner"),
-        F.col("rank").cast("int").alias("rank"), "is_hot_rising",
-    ).select(*_names(ADS_TOP_CITIES)).orderBy("year_quarter", "rank")
+        F.col("rank").cast("int").alias("rank"), "is_hot_rising", "visit_cnt_growth_rate",
+    ).select(*_names(ADS_TOP_CITIES), *(["visit_cnt_growth_rate"] if with_growth else [])).orderBy("year_quarter", "rank")
 
 
 __all__ = [

@@ -8,7 +8,6 @@ joined with '|', dates / decimals as text, integers as BIGINT.
 
 from __future__ import annotations
 
-from wayfarer.functions.classify import RuleSet
 from wayfarer.plans.params import FIXTURE_PARAMS, Params
 
 
@@ -16,10 +15,15 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _category_case(col: str, rules: RuleSet) -> str:
-    arms = [f"WHEN regexp_matches({col}, {_q(r.pattern)}) THEN {_q(r.category)}" for r in rules.rules]
-    arms.append(f"WHEN {col} = {_q(rules.sentinel_text)} THEN {_q(rules.sentinel_category)}")
-    return "CASE " + " ".join(arms) + f" ELSE {_q(rules.default_category)} END"
+# the category rules of the test tables, written out for DuckDB (not taken from the library's patterns)
+_CATEGORY = """CASE
+              WHEN regexp_matches(label_zh, 'ring|anvil') THEN 'forged'
+              WHEN regexp_matches(label_zh, 'red|blue') THEN 'coloured'
+              WHEN regexp_matches(label_zh, 'gear|gizmo|widget') THEN 'device'
+              WHEN regexp_matches(label_zh, 'hot|cold') THEN 'thermal'
+              WHEN regexp_matches(label_zh, 'PROMO') THEN 'promo'
+              WHEN label_zh = '无标签' THEN 'unclassified'
+              ELSE 'other' END"""
 
 
 def _map_text(key: str, n: str) -> str:
@@ -35,36 +39,43 @@ def _ctes(p: Params) -> str:
 ods_poi AS (
   SELECT CAST(p_partkey AS VARCHAR) AS poi_id,
          CASE WHEN p_partkey % 97 = 0 THEN NULL ELSE p_name END AS name_zh,
-         p_name AS name_en, p_brand AS city_zh, p_brand AS city_en,
+         p_name AS name_en, CASE WHEN copy_no = 1 THEN p_type ELSE p_brand END AS city_zh,
+         CASE WHEN copy_no = 1 THEN p_type ELSE p_brand END AS city_en,
          CAST(p_size AS DECIMAL(10,6)) AS latitude, CAST(p_retailprice AS DECIMAL(10,6)) AS longitude,
          CASE WHEN p_partkey % 13 = 0 THEN '  ' WHEN p_partkey % 17 = 0 THEN NULL
-              ELSE replace(p_name, ' ', ';') || ';' || p_type END AS label_zh,
+              WHEN copy_no = 1 THEN p_type ELSE replace(p_name, ' ', ';') || ';' || p_type END AS label_zh,
          p_type AS label_en
-  FROM part),
+  FROM part, unnest(CASE WHEN p_partkey % 23 = 0 THEN [0, 1] ELSE [0] END) AS c(copy_no)),
 seqs AS (
   SELECT l_orderkey AS sk, string_agg(CAST(l_partkey AS VARCHAR), ';' ORDER BY l_partkey) AS seq
   FROM lineitem GROUP BY l_orderkey),
 trip_src AS (
-  SELECT o_orderkey AS ok, CAST(o_custkey AS VARCHAR) AS blog_id,
-         strftime(o_orderdate, '%Y-%m-%d') AS retrieval_date,
+  SELECT *, CASE WHEN o_orderkey % 53 = 0 THEN CAST(o_orderdate AS DATE) - INTERVAL 10 YEAR
+                 WHEN o_orderkey % 59 = 0 THEN CAST(o_orderdate AS DATE) + INTERVAL 10 YEAR
+                 ELSE CAST(o_orderdate AS DATE) END AS day,
+         CASE WHEN copy_no = 1 AND o_orderkey % 100 = 0 THEN (o_orderkey + 1) % 3 ELSE o_orderkey % 3 END AS layout
+  FROM orders LEFT JOIN seqs ON sk = o_orderkey,
+       unnest(CASE WHEN o_orderkey % 50 = 0 THEN [0, 1] ELSE [0] END) AS c(copy_no)),
+ods_trip AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS blog_id, strftime(o_orderdate, '%Y-%m-%d') AS retrieval_date,
          CASE WHEN o_orderkey % 101 = 0 THEN 'junk'
-              WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y/%-m/%-d')
-              WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%Y-%m-%d')
-              ELSE strftime(o_orderdate, '%Y%m%d') END AS departure_date,
-         CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END AS travel_partners,
+              WHEN layout = 0 THEN strftime(day, '%Y/%-m/%-d')
+              WHEN layout = 1 THEN strftime(day, '%Y-%m-%d')
+              ELSE strftime(day, '%Y%m%d') END AS departure_date,
+         CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN copy_no = 1 AND o_orderkey % 150 = 0 THEN '0-OTHER'
+              ELSE o_orderpriority END AS travel_partners,
          CASE WHEN o_orderkey % 7 = 0 THEN seq || ';;' ELSE seq END AS visit_sequence
-  FROM orders LEFT JOIN seqs ON sk = o_orderkey),
-ods_trip AS (
-  SELECT blog_id, retrieval_date, departure_date, travel_partners, visit_sequence
-  FROM trip_src, unnest(CASE WHEN ok % 50 = 0 THEN [0, 1] ELSE [0] END) AS c(copy_no)),
+  FROM trip_src),
 poi_kept AS (
   SELECT poi_id, name_zh, city_zh,
          coalesce(CASE WHEN trim(label_zh) = '' THEN NULL ELSE label_zh END, {_q(p.label_default)}) AS label_zh
   FROM ods_poi WHERE poi_id IS NOT NULL AND name_zh IS NOT NULL AND city_zh IS NOT NULL),
-dwd_poi AS (
+poi_all AS (
   SELECT poi_id, name_zh AS name, city_zh AS city, string_split(label_zh, ';') AS label,
-         {_category_case('label_zh', p.rules)} AS category, label_zh
-  FROM poi_kept
+         {_CATEGORY} AS category, label_zh
+  FROM poi_kept),
+dwd_poi AS (
+  SELECT * FROM poi_all
   QUALIFY row_number() OVER (PARTITION BY poi_id ORDER BY name, city, category, label) = 1),
 poi_u AS (
   SELECT poi_id, name, city, category FROM dwd_poi),
@@ -219,9 +230,19 @@ top_attractions AS (
                                      ORDER BY visit_total_cnt DESC, poi_id, name, city, category) AS rk
         FROM attraction_quarter WHERE travel_year = {p.ranking_year})
   WHERE rk <= {p.top_attractions}),
+aqa_j AS (SELECT vq.*, d.name, d.city, d.category FROM vq JOIN poi_all d ON vq.poi_id = d.poi_id),
+aqa_pl AS (SELECT poi_id, name, city, category, travel_year, travel_quarter, travel_partners AS k, count(*) AS n
+           FROM aqa_j GROUP BY ALL),
+aqa AS (
+  SELECT *, {growth} AS rate
+  FROM (SELECT *, visit_total_cnt AS cur,
+               lag(visit_total_cnt) OVER (PARTITION BY poi_id, name, city, category ORDER BY travel_year, travel_quarter) AS prev
+        FROM (SELECT poi_id, name, city, category, travel_year, travel_quarter, CAST(sum(n) AS BIGINT) AS visit_total_cnt,
+                     {_map_text('k', 'n')} AS partner_map FROM aqa_pl GROUP BY ALL))),
 top_cities AS (
   SELECT CAST(travel_year AS VARCHAR) || 'Q' || CAST(travel_quarter AS VARCHAR) AS year_quarter,
-         city, visit_trip_cnt, unique_attraction_cnt, top_partner, CAST(rk AS BIGINT) AS rank, is_hot_rising
+         city, visit_trip_cnt, unique_attraction_cnt, top_partner, CAST(rk AS BIGINT) AS rank, is_hot_rising,
+         visit_cnt_growth_rate
   FROM (SELECT *, row_number() OVER (PARTITION BY travel_year, travel_quarter ORDER BY visit_trip_cnt DESC, city) AS rk
         FROM city_quarter WHERE travel_year = {p.ranking_year})
   WHERE rk <= {p.top_cities})"""
@@ -314,11 +335,40 @@ FROM cq_strict""",
     "user_level": "SELECT * FROM user_level",
     "user_portrait": "SELECT * FROM user_portrait",
     "top_attractions": "SELECT * FROM top_attractions",
-    "top_cities": "SELECT * FROM top_cities",
+    "top_cities": "SELECT * EXCLUDE (visit_cnt_growth_rate) FROM top_cities",
+    "top_cities_growth": "SELECT * FROM top_cities",
+    "attraction_quarter_allow": """
+SELECT poi_id, name, city, category, visit_total_cnt, partner_map, rate AS visit_cnt_growth_rate,
+       CASE WHEN prev IS NULL THEN {none_flag} WHEN rate > {threshold} THEN {yes_flag} ELSE {no_flag} END AS is_hot_rising,
+       CAST(travel_year AS BIGINT) AS travel_year, CAST(travel_quarter AS BIGINT) AS travel_quarter
+FROM aqa""",
+    "parse_date_optional": """
+SELECT blog_id, text AS departure_date,
+       CAST(CAST(coalesce(try_strptime(text, '%Y/%m/%d'), try_strptime(text, '%Y-%m-%d %H:%M'),
+                          try_strptime(text, '%Y-%m-%d'), try_strptime(text, '%Y%m%d')) AS DATE) AS VARCHAR) AS travel_date
+FROM (SELECT blog_id, CASE WHEN departure_date LIKE '%-%' AND CAST(blog_id AS BIGINT) % 2 = 0
+                           THEN departure_date || ' 08:30' ELSE departure_date END AS text FROM ods_trip)""",
+    "catalog_dynamic_overwrite": """
+SELECT city, visit_trip_cnt + CASE WHEN travel_year = {ranking_year} THEN 1000 ELSE 0 END AS visit_trip_cnt,
+       unique_attraction_cnt, partner_map, visit_cnt_growth_rate, is_hot_rising, travel_year, travel_quarter
+FROM city_quarter""",
+    "quality_year_histogram": """
+SELECT CAST(travel_year AS BIGINT) AS travel_year, count(*) AS row_cnt FROM trip_parsed GROUP BY travel_year""",
+    "quality_category_histogram": "SELECT category, count(*) AS row_cnt FROM dwd_poi GROUP BY category",
+    "quality_report_typed": """
+SELECT 'longitude' AS column_name, count(*) AS row_cnt, count(*) - count(longitude) AS null_cnt, 0 AS blank_cnt,
+       CAST(min(longitude) AS VARCHAR) AS min_value, CAST(max(longitude) AS VARCHAR) AS max_value FROM ods_poi
+UNION ALL
+SELECT 'latitude', count(*), count(*) - count(latitude), 0, CAST(min(latitude) AS VARCHAR), CAST(max(latitude) AS VARCHAR)
+FROM ods_poi""",
+    "conform_failures": """
+SELECT 'latitude' AS column_name, count(*) AS value_cnt, count(*) FILTER (CAST(poi_id AS BIGINT) % 29 = 0) AS failed_cnt FROM ods_poi
+UNION ALL
+SELECT 'longitude', count(*), 0 FROM ods_poi""",
     "partition_pruned_year": """
 SELECT city, visit_trip_cnt, unique_attraction_cnt, partner_map, visit_cnt_growth_rate, is_hot_rising,
        travel_year, travel_quarter FROM city_quarter WHERE travel_year = {ranking_year}""",
-    "layered_top_cities": "SELECT * FROM top_cities",
+    "layered_top_cities": "SELECT * EXCLUDE (visit_cnt_growth_rate) FROM top_cities",
     "quality_report": """
 SELECT column_name, row_cnt, null_cnt, blank_cnt, min_value, max_value FROM (
   SELECT 'blog_id' AS column_name, count(*) AS row_cnt, count(*) - count(blog_id) AS null_cnt,
@@ -353,7 +403,7 @@ SELECT column_name, row_cnt, null_cnt, blank_cnt, min_value, max_value FROM (
     "date_parse_failures": """
 SELECT departure_date, count(*) AS row_cnt FROM trip_parsed WHERE travel_date IS NULL GROUP BY departure_date""",
     "duplicate_trips": """
-SELECT count(*) AS duplicate_groups, CAST(sum(n - 1) AS BIGINT) AS surplus_rows
+SELECT count(*) AS duplicate_groups, coalesce(CAST(sum(n - 1) AS BIGINT), 0) AS surplus_rows
 FROM (SELECT count(*) AS n FROM trip_parsed GROUP BY blog_id, travel_date, visit_sequence HAVING count(*) > 1)""",
 }
 

@@ -30,9 +30,9 @@ class Params:
     unique_poi: str = "first"          # "first" | "error" | "allow"
     # dimension join in the roll-ups (the clean table is already unique, so no re-check)
     poi_join_unique: str = "allow"     # "first" | "error" | "allow"
-    broadcast_poi: str = "checked"     # "checked" | "auto" | "never"
-    max_broadcast_rows: int = 500_000  # proven row bound for a broadcast; beyond it a sort-merge join
+    broadcast_poi: str = "auto"        # "auto" (Spark's size check in bytes) | "never"
     # rollups
+    hot_user_month_visits: int = 1_000_000  # a user-month beyond this is rolled up over many tasks
     null_map_key: str = "drop"    # "drop" | "error" | <label>
     # growth
     rising_threshold: float = 0.3

@@ -7,6 +7,10 @@ current job from stored inputs, and each job can be re-run on its own.
 
 from __future__ import annotations
 
+import hashlib
+import json
+import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -14,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wayfarer.plans import jobs
 from wayfarer.plans.params import REFERENCE_PARAMS, Params
+from wayfarer.schemas import TABLES
 from wayfarer.sources.tables import read_table, read_year, write_layer
 
 
@@ -33,36 +38,100 @@ def is_complete(spark: SparkSession, path: str) -> bool:
         return False
 
 
+def _state_path(warehouse: str, name: str) -> str:
+    return f"{warehouse.rstrip('/')}/_state/{name}"
+
+
+def read_state(spark: SparkSession, warehouse: str, name: str) -> dict | None:
+    """What the last finished write of a table was made from: ``made_from`` and its own ``run``."""
+    path = _state_path(warehouse, name)
+    if not is_complete(spark, path):
+        return None
+    rows = spark.read.text(path).collect()  # one line
+    return json.loads(rows[0][0]) if rows else None
+
+
+def _write_state(spark: SparkSession, warehouse: str, name: str, made_from: str) -> None:
+    line = json.dumps({"made_from": made_from, "run": uuid.uuid4().hex})
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("overwrite").text(_state_path(warehouse, name))
+
+
+def fingerprint(name: str, params: Params, inputs: list[str]) -> str:
+    """Identity of a table's content: parameters, declared schema and layout, identities of its inputs."""
+    schema, parts = TABLES[name]
+    text = json.dumps([repr(params), schema.json(), list(parts), inputs])
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def raw_identity(df: DataFrame | None) -> list[str]:
+    """Files and schema that a raw input is read from."""
+    return [df.schema.json(), *sorted(df.inputFiles())] if df is not None else []
+
+
+def read_declared(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A stored layer table; one whose columns or types are not the declared ones raises."""
+    df = read_table(spark, path)
+    want = {f.name: f.dataType.simpleString() for f in TABLES[name][0].fields}
+    have = dict(df.dtypes)
+    if have != want:
+        raise ValueError(f"{path} is not the declared {name}: {sorted(set(have.items()) ^ set(want.items()))}")
+    return df.select(*want)
+
+
+# table -> tables it is made from
+SOURCES = {
+    "ods_poi_dim": (),
+    "ods_user_travel_sequence": (),
+    "dwd_poi_info": ("ods_poi_dim",),
+    "dwd_user_travel_sequence_info": ("ods_user_travel_sequence",),
+    "dws_user_travel_month": ("dwd_user_travel_sequence_info", "dwd_poi_info"),
+    "dws_attraction_travel_quarter": ("dwd_user_travel_sequence_info", "dwd_poi_info"),
+    "dws_city_travel_quarter": ("dws_attraction_travel_quarter",),
+    "ads_user_portrait": ("dws_user_travel_month",),
+    "ads_top50_attractions_last_year": ("dws_attraction_travel_quarter",),
+    "ads_city_top10_last_year": ("dws_city_travel_quarter",),
+}
+
+
 def run_pipeline(spark: SparkSession, ods_poi: DataFrame | None, ods_trip: DataFrame | None, warehouse: str,
                  params: Params = REFERENCE_PARAMS, files_per_partition: int | None = None,
                  timings: dict[str, float] | None = None, resume: bool = False,
                  only: set[str] | None = None) -> dict[str, str]:
     """Write all ten tables under ``warehouse``; return their paths. ``timings`` (if given)
-    receives the wall time of each job's write. With ``resume``, tables whose write already
-    completed are kept, so a run that died part-way only redoes the unfinished jobs. ``only``
-    restricts the run to the named tables (their inputs must already be written)."""
-    import time
-
+    receives the wall time of each job's write. With ``resume``, a table is kept when its write
+    completed with the same parameters and declared schema, from inputs that have not been written
+    again since; everything else is redone. Raw inputs count as the same when their files and
+    schema are. ``only`` restricts the run to the named tables (their inputs must already be
+    written)."""
     p = table_paths(warehouse)
+    raw = {"ods_poi_dim": ods_poi, "ods_user_travel_sequence": ods_trip}
 
-    def step(name: str, build: Callable[[], DataFrame]) -> None:
+    def step(name: str, build: Callable[[], DataFrame], laid_out: bool = False) -> None:
         """Write table ``name`` from ``build()``; inputs are read only when the step runs."""
         if only is not None and name not in only:
             return
-        if resume and is_complete(spark, p[name]):
-            return
+        states = [read_state(spark, warehouse, t) for t in SOURCES[name]]
+        inputs = raw_identity(raw.get(name)) + [s["run"] if s else "unknown" for s in states]
+        made_from = fingerprint(name, params, inputs)
+        if resume and "unknown" not in inputs and is_complete(spark, p[name]):
+            state = read_state(spark, warehouse, name)
+            if state and state["made_from"] == made_from:
+                return
         t0 = time.perf_counter()
-        write_layer(build(), name, p[name], files_per_partition=files_per_partition)
+        write_layer(build(), name, p[name], files_per_partition=files_per_partition, laid_out=laid_out)
         if timings is not None:
             timings[name] = time.perf_counter() - t0
+        _write_state(spark, warehouse, name, made_from)
 
     def rd(name: str) -> DataFrame:
-        return read_table(spark, p[name])
+        return read_declared(spark, p[name], name)
 
     step("ods_poi_dim", lambda: ods_poi)
     step("ods_user_travel_sequence", lambda: ods_trip)
     step("dwd_poi_info", lambda: jobs.clean_poi(rd("ods_poi_dim"), params))
-    step("dwd_user_travel_sequence_info", lambda: jobs.clean_trips(rd("ods_user_travel_sequence"), params))
+    own_layout = files_per_partition is None
+    step("dwd_user_travel_sequence_info",
+         lambda: jobs.clean_trips(rd("ods_user_travel_sequence"), params, lay_out=own_layout), laid_out=own_layout)
     step("dws_user_travel_month",
          lambda: jobs.user_month(rd("dwd_user_travel_sequence_info"), rd("dwd_poi_info"), params))
     step("dws_attraction_travel_quarter",

@@ -15,18 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, ByteType, DateType, DecimalType, IntegerType, MapType, ShortType
 
+from wayfarer.functions.dates import parse_date_multi
 from wayfarer.functions.maps import map_text, top_keys
 from wayfarer.operators.clean import drop_null_keys, explode_sequence
 from wayfarer.operators.enrich import join_dim
-from wayfarer.operators.quality import column_profile, duplicate_summary, parse_failures
+from wayfarer.operators.quality import column_profile, conform_failures, duplicate_summary, parse_failures, value_histogram
 from wayfarer.operators.ranking import argmax_set
 from wayfarer.operators.rollup import count_map
 from wayfarer.plans import jobs
 from wayfarer.plans.params import FIXTURE_PARAMS, Params
 from wayfarer.plans.pipeline import run_pipeline, table_paths
+from wayfarer.schemas import TABLES
 from wayfarer.session import scratch_path
 from wayfarer.sources.csv_load import POI_CSV_COLUMNS, TRIP_CSV_COLUMNS, read_poi_csv, read_trip_csv, write_source_csv
-from wayfarer.sources.tables import read_table, read_year, write_layer
+from wayfarer.sources.tables import create_layer_databases, read_table, read_year, write_layer
 from wayfarer.sources.testdata import raw_pois, raw_trips
 
 
@@ -153,6 +155,15 @@ def _parse(L: Layers) -> DataFrame:
     return L.parsed.select(*_TRIP_COLS, "travel_date")
 
 
+@_register("parse_date_optional")
+def _parse_optional(L: Layers) -> DataFrame:
+    # dashed dates of every other user carry a time, which one format has as an optional section
+    timed = F.col("departure_date").contains("-") & (F.col("blog_id").cast("bigint") % 2 == 0)
+    text = F.when(timed, F.concat("departure_date", F.lit(" 08:30"))).otherwise(F.col("departure_date"))
+    t = L.ods_trip.select("blog_id", text.alias("departure_date"))
+    return t.withColumn("travel_date", parse_date_multi("departure_date", ("yyyy/M/d", "yyyy-MM-dd[ HH:mm]", "yyyyMMdd")))
+
+
 @_register("year_range")
 def _years(L: Layers) -> DataFrame:
     from wayfarer.operators.clean import year_range
@@ -249,6 +260,12 @@ def _aq_strict(L: Layers) -> DataFrame:
                          "is_hot_rising")
 
 
+@_register("attraction_quarter_allow")
+def _aq_allow(L: Layers) -> DataFrame:
+    p = L.params.with_(unique_poi="allow")
+    return jobs.attraction_quarter(L.visits, jobs.clean_poi(L.ods_poi, p), p)
+
+
 @_register("city_quarter")
 def _cq(L: Layers) -> DataFrame:
     return L.city_quarter
@@ -312,6 +329,11 @@ def _top_cities(L: Layers) -> DataFrame:
     return jobs.top_cities(L.city_quarter, L.params)
 
 
+@_register("top_cities_growth")
+def _top_cities_growth(L: Layers) -> DataFrame:
+    return jobs.top_cities(L.city_quarter, L.params, with_growth=True)
+
+
 # -- storage round trips ------------------------------------------------------------------
 @_register("partition_pruned_year")
 def _pruned(L: Layers) -> DataFrame:
@@ -329,6 +351,21 @@ def _layered(L: Layers) -> DataFrame:
     return read_table(L.spark, table_paths(warehouse)["ads_city_top10_last_year"])
 
 
+@_register("catalog_dynamic_overwrite")
+def _catalog(L: Layers) -> DataFrame:
+    """A partitioned catalog table whose ranking year is replaced; the other years stay."""
+    create_layer_databases(L.spark)
+    place = scratch_path(L.spark, "catalog")
+    table = "dws.t_" + place.rsplit("-", 1)[-1]
+    write_layer(L.city_quarter, "dws_city_travel_quarter", table, as_table=True, location=place)
+    # stored apart: a table can't be read and overwritten at once
+    change = scratch_path(L.spark, "change")
+    write_layer(read_year(L.spark, table, L.params.ranking_year, as_table=True)
+                .withColumn("visit_trip_cnt", F.col("visit_trip_cnt") + 1000), "dws_city_travel_quarter", change)
+    write_layer(read_table(L.spark, change), "dws_city_travel_quarter", table, as_table=True, overwrite="dynamic")
+    return read_table(L.spark, table, as_table=True)
+
+
 # -- quality ------------------------------------------------------------------------------
 @_register("quality_report")
 def _quality(L: Layers) -> DataFrame:
@@ -340,6 +377,28 @@ def _quality_poi(L: Layers) -> DataFrame:
     return column_profile(L.ods_poi, ["poi_id", "name_zh", "city_zh", "label_zh"])
 
 
+@_register("quality_report_typed")
+def _quality_typed(L: Layers) -> DataFrame:
+    return column_profile(L.ods_poi, ["longitude", "latitude"])
+
+
+@_register("quality_year_histogram")
+def _years_histogram(L: Layers) -> DataFrame:
+    return value_histogram(L.parsed, "travel_year")
+
+
+@_register("quality_category_histogram")
+def _category_histogram(L: Layers) -> DataFrame:
+    return value_histogram(L.dwd_poi, "category")
+
+
+@_register("conform_failures")
+def _conform_failures(L: Layers) -> DataFrame:
+    text = F.when(F.col("poi_id").cast("bigint") % 29 == 0, F.lit("n/a")).otherwise(F.col("latitude").cast("string"))
+    rows = L.ods_poi.withColumn("latitude", text).withColumn("longitude", F.col("longitude").cast("string"))
+    return conform_failures(rows, TABLES["ods_poi_dim"][0])
+
+
 @_register("date_parse_failures")
 def _parse_fail(L: Layers) -> DataFrame:
     return parse_failures(L.parsed, "departure_date", "travel_date")

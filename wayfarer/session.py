@@ -52,8 +52,9 @@ def scale_conf(shuffle_bytes: int, target_partition_bytes: int = 256 << 20, core
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (HDFS / object store). Only when it is unset, as in local
-    tests, a local temporary folder is created and registered as the checkpoint dir.
+    On a cluster this must be set (HDFS / object store): executors would each write to their own
+    disk otherwise, so an unset folder raises unless the master is local. Only then, as in tests, a
+    local temporary folder is created and registered as the checkpoint dir.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -64,6 +65,9 @@ def shared_dir(spark: SparkSession) -> str:
         configured = sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir is not set and the master is {master!r}: name a folder all executors share")
     local = tempfile.mkdtemp(prefix="wayfarer-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(local)

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from wayfarer.schemas import ODS_POI, ODS_TRIP, conform
 
@@ -34,11 +34,16 @@ TRIP_CSV_COLUMNS = {
 def read_csv_mapped(spark: SparkSession, path: str, mapping: Mapping[str, str],
                     schema: StructType | None = None) -> DataFrame:
     """Read a headed CSV without type inference (no extra pass over the data), keep and rename
-    the mapped columns, then cast to ``schema`` when given. Empty fields read as NULL."""
-    raw = spark.read.csv(path, header=True, encoding="utf-8", inferSchema=False)
-    missing = [c for c in mapping if c not in raw.columns]
+    the mapped columns, then cast to ``schema`` when given. Empty fields read as NULL.
+
+    The header of one file gives the all-string schema; a file of the folder whose header differs
+    (another order, other names) fails the read instead of having its columns mixed up."""
+    header = spark.read.csv(path, header=True, encoding="utf-8", inferSchema=False).columns
+    missing = [c for c in mapping if c not in header]
     if missing:
         raise ValueError(f"{path}: header lacks {missing}")
+    text = StructType([StructField(c, StringType()) for c in header])
+    raw = spark.read.csv(path, schema=text, header=True, encoding="utf-8", enforceSchema=False)
     df = raw.select(*[F.col(f"`{src}`").alias(dst) for src, dst in mapping.items()])
     return conform(df, schema) if schema is not None else df
 

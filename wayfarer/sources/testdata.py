@@ -6,9 +6,12 @@
 
 Dirt is injected by key arithmetic so every engine reproduces it row for row; no row of the
 source tables is left out. POIs: name NULL for key % 97 = 0, blank label for % 13 = 0, NULL
-label for % 17 = 0. Trips: date text 'junk' for % 101 = 0, else alternating three layouts by
-% 3; companions NULL for % 11 = 0; a trailing ';;' for % 7 = 0; every order with % 50 = 0
-appears twice (exact copies for the de-duplication step).
+label for % 17 = 0; every POI with % 23 = 0 appears a second time with its type as city and label.
+Trips: ten years earlier for % 53 = 0 and ten years later for % 59 = 0 (outside the year range);
+date text 'junk' for % 101 = 0, else alternating three layouts by % 3; companions NULL for
+% 11 = 0; a trailing ';;' for % 7 = 0; every order with % 50 = 0 appears twice: for % 100 = 0 the
+second one's date is in the next layout, for % 150 = 0 it has other companions, else it is an
+exact copy.
 """
 
 from __future__ import annotations
@@ -28,15 +31,19 @@ def raw_pois(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     k = F.col("p_partkey")
     label = F.concat(F.regexp_replace("p_name", " ", ";"), F.lit(";"), F.col("p_type"))
+    # duplicates: one extra row for every 23rd part (generated by a filter-free explode)
+    p = p.withColumn("_copy", F.explode(F.when(k % 23 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    again = F.col("_copy") == 1
     df = p.select(
         k.cast("string").alias("poi_id"),
         F.when(k % 97 == 0, F.lit(None)).otherwise(F.col("p_name")).alias("name_zh"),
         F.col("p_name").alias("name_en"),
-        F.col("p_brand").alias("city_zh"),
-        F.col("p_brand").alias("city_en"),
+        F.when(again, F.col("p_type")).otherwise(F.col("p_brand")).alias("city_zh"),
+        F.when(again, F.col("p_type")).otherwise(F.col("p_brand")).alias("city_en"),
         F.col("p_size").cast("decimal(10,6)").alias("latitude"),
         F.col("p_retailprice").cast("decimal(10,6)").alias("longitude"),
-        F.when(k % 13 == 0, F.lit("  ")).when(k % 17 == 0, F.lit(None)).otherwise(label).alias("label_zh"),
+        F.when(k % 13 == 0, F.lit("  ")).when(k % 17 == 0, F.lit(None))
+         .when(again, F.col("p_type")).otherwise(label).alias("label_zh"),
         F.col("p_type").alias("label_en"),
     )
     return conform(df, ODS_POI)
@@ -50,18 +57,24 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform(F.array_sort(F.collect_list("l_partkey")), lambda x: x.cast("string")),
                      ";").alias("seq"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    k, d = F.col("o_orderkey"), F.col("o_orderdate")
-    t = o.join(seqs, o.o_orderkey == seqs.l_orderkey, "left").select(
-        k.alias("ok"),
+    k = F.col("o_orderkey")
+    day = F.to_date("o_orderdate")
+    day = F.when(k % 53 == 0, F.add_months(day, -120)).when(k % 59 == 0, F.add_months(day, 120)).otherwise(day)
+    # copies: one extra row for every 50th order (generated by a filter-free explode)
+    copies = F.when(k % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    t = (o.join(seqs, o.o_orderkey == seqs.l_orderkey, "left")
+         .withColumn("_copy", F.explode(copies)).withColumn("_day", day))
+    d, again = F.col("_day"), F.col("_copy") == 1
+    layout = F.when(again & (k % 100 == 0), (k + 1) % 3).otherwise(k % 3)
+    t = t.select(
         F.col("o_custkey").cast("string").alias("blog_id"),
-        F.date_format(d, "yyyy-MM-dd").alias("retrieval_date"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("retrieval_date"),
         F.when(k % 101 == 0, F.lit("junk"))
-         .when(k % 3 == 0, F.date_format(d, "yyyy/M/d"))
-         .when(k % 3 == 1, F.date_format(d, "yyyy-MM-dd"))
+         .when(layout == 0, F.date_format(d, "yyyy/M/d"))
+         .when(layout == 1, F.date_format(d, "yyyy-MM-dd"))
          .otherwise(F.date_format(d, "yyyyMMdd")).alias("departure_date"),
-        F.when(k % 11 == 0, F.lit(None)).otherwise(F.col("o_orderpriority")).alias("travel_partners"),
+        F.when(k % 11 == 0, F.lit(None)).when(again & (k % 150 == 0), F.lit("0-OTHER"))
+         .otherwise(F.col("o_orderpriority")).alias("travel_partners"),
         F.when(k % 7 == 0, F.concat(F.col("seq"), F.lit(";;"))).otherwise(F.col("seq")).alias("visit_sequence"),
     )
-    # copies: one extra row for every 50th order (generated by a filter-free explode)
-    copies = F.when(F.col("ok") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return conform(t.withColumn("_copy", F.explode(copies)), ODS_TRIP)
+    return conform(t, ODS_TRIP)
