@@ -11,6 +11,7 @@ where the documents are.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -47,7 +48,7 @@ def content_features(text: str) -> list[float]:
     lower = [w.lower() for w in words]
     distinct = set(lower)
     lines = [x for x in text.split("\n") if x.strip()]
-    top = max(map(lower.count, list(distinct)[:1]), default=0) if len(distinct) == 1 else 0
+    top = max(Counter(lower).values(), default=0)
     return [
         count[1] / max(1, count[1] + count[2]), count[3] / n, count[4] / n, count[5] / n, raw.count(b"!") / n, count[6] / n,
         float(np.log1p(len(words))), sum(map(len, words)) / m, len(distinct) / m, top / m,
@@ -69,15 +70,19 @@ def slot(value: str | None, slots: int) -> int:
 
 
 def feature_rows(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Content and metadata features of a batch (_text, _source, _lang, _chars)."""
+    """Of a batch (_text, _source, _lang, _chars) the content and layout features, and the slots of
+    source and language."""
     texts = ["" if t is None or t != t else t for t in batch["_text"]]
-    content = np.array([content_features(t) for t in texts], "f8").reshape(len(texts), len(CONTENT))
-    meta = np.zeros((len(texts), len(LAYOUT) + SOURCE_SLOTS + LANG_SLOTS))
-    for i, (t, s, g, c) in enumerate(zip(texts, batch["_source"], batch["_lang"], batch["_chars"], strict=True)):
-        meta[i, :len(LAYOUT)] = layout_features(t, c)
-        meta[i, len(LAYOUT) + slot(s, SOURCE_SLOTS)] = 1
-        meta[i, len(LAYOUT) + SOURCE_SLOTS + slot(g, LANG_SLOTS)] = 1
-    return content, meta
+    dense = [content_features(t) + layout_features(t, c) for t, c in zip(texts, batch["_chars"], strict=True)]
+    slots = [(slot(s, SOURCE_SLOTS), slot(g, LANG_SLOTS)) for s, g in zip(batch["_source"], batch["_lang"], strict=True)]
+    return (np.array(dense, "f4").reshape(len(texts), len(CONTENT) + len(LAYOUT)),
+            np.array(slots, "i4").reshape(len(texts), 2))
+
+
+def views(dense: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two views' features: content; layout with one column for each slot."""
+    content, layout = dense[:, :len(CONTENT)].astype("f8"), dense[:, len(CONTENT):].astype("f8")
+    return content, np.hstack([layout, np.eye(SOURCE_SLOTS)[slots[:, 0]], np.eye(LANG_SLOTS)[slots[:, 1]]])
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -182,15 +187,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            content, meta = feature_rows(batch)
+            dense, slots = feature_rows(batch)
             yield pd.DataFrame({"_id": batch["_id"].astype("string"), "y": batch["_y"].astype("Int32"), "held": batch["_held"],
-                                "content": list(content), "meta": list(meta)})
+                                "dense": [x.tobytes() for x in dense], "source": slots[:, 0], "lang": slots[:, 1]})
 
     got = rows.withColumn("_id", F.col("_id").cast("string")).mapInPandas(
-        features, "_id string, y int, held boolean, content array<double>, meta array<double>")
-    got = got.toPandas().sort_values("_id", kind="stable")  # the fit doesn't depend on the tasks' order
-    content = np.array(got["content"].tolist(), "f8").reshape(len(got), len(CONTENT))
-    meta = np.array(got["meta"].tolist(), "f8").reshape(len(got), -1)
+        features, "_id string, y int, held boolean, dense binary, source int, lang int")
+    # about a hundred bytes a row; sorted, as the fit must not depend on the order of tasks
+    got = got.toPandas().sort_values(["_id", "dense"], kind="stable")
+    dense = np.frombuffer(b"".join(got["dense"]), "f4").reshape(len(got), len(CONTENT) + len(LAYOUT))
+    content, meta = views(dense, got[["source", "lang"]].to_numpy("i4").reshape(len(got), 2))
     has = got["y"].notna().to_numpy(bool)
     return co_train(content[has], meta[has], got["y"][has].to_numpy("i8"), got["held"][has].to_numpy(bool), content[~has], meta[~has])
 
@@ -213,8 +219,7 @@ def score(docs: DataFrame, model: CoTrained, id_col: str = "doc_id", text_col: s
         import pyarrow as pa
 
         for batch in batches:
-            content, meta = feature_rows(batch.select(["_text", "_source", "_lang", "_chars"]).to_pandas())
-            scores = model.scores(content, meta)
+            scores = model.scores(*views(*feature_rows(batch.select(["_text", "_source", "_lang", "_chars"]).to_pandas())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(n) for n in names] + [pa.array(s, pa.float64()) for s in scores],
                 names=[*names, "content_score", "metadata_score", "score"])
