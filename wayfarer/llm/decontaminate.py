@@ -98,9 +98,12 @@ def confirm(docs: DataFrame, found: DataFrame, windows: DataFrame, id_col: str =
                .withColumnsRenamed({"_id": "_cid", "_key": "_ckey"}))
     texts = _texts(docs, id_col, text_col).where(F.col("_text").isNotNull())
     both = texts.join(per_doc, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_key") == F.col("_ckey")))
+    # two mentions of _w in the lambda: Spark then keeps it as a column, worked out once for a document,
+    # instead of writing its expression into the lambda, once for each candidate
     hits = F.transform("_found", lambda c: F.struct(
         c["_wid"].alias("_wid"), c["_start"].alias("start"), F.size(c["window"]).alias("size"),
-        (F.slice("_w", c["_start"] + 1, F.size(c["window"])) == c["window"]).alias("exact")))
+        ((c["_start"] + F.size(c["window"]) <= F.size("_w"))
+         & (F.slice("_w", c["_start"] + 1, F.size(c["window"])) == c["window"])).alias("exact")))
     return both.withColumn("_w", words("_text")).select("_id", "_key", hits.alias("_hits"))
 
 
@@ -122,7 +125,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
     n_items (items with occurring windows), items_sha256 (their ids sorted as strings), contaminated.
 
     NULL texts have no words and items without words no windows. Items that repeat a text are all
-    named. Rows that repeat an id and a text give the same result each; rows that share only an id
+    named; words that only an item without an id contains are hit, but it is not named. Rows that repeat an id and a text give the same result each; rows that share only an id
     are judged by their own text. Empty tables give no rows, or no hits. Other columns are not read.
     """
     windows = item_windows(items, window, item_id, item_text)
