@@ -207,30 +207,43 @@ def fetch_sets(docs: DataFrame, alive: DataFrame, id_col: str, text_col: str, si
     return found.join(alive.select("_set", "_cls", "_n"), "_set").select("_cls", "_n", "_tokens").dropDuplicates(["_cls"])
 
 
+def _ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Min-hash values and prefixes of each class. A shingle stands in a prefix as its rank under that
+    order, a number of the shingle alone: the frequency above 43 bits of a hash. Shingles of equal rank
+    can only add candidates."""
+    for batch in batches:
+        own = batch.column("_own")
+        counts = np.diff(own.offsets.to_numpy())
+        stops = np.cumsum(counts)
+        flat = own.flatten()
+        f, t = flat.field("_f").to_numpy().astype("u8"), flat.field("_t").to_numpy().view("u8")
+        often, size = np.minimum(f, np.uint64((1 << 20) - 1)), np.floor(np.log2(f)).astype("u8")
+        ranks = [(of << np.uint64(43)) | (_seeded(t, k) >> np.uint64(21)) for k, of in enumerate((often, often, size))]
+        hashes = [_seeded(t, 100 + k) for k in range(STARS)]
+        room = batch.column("_room").to_numpy()
+        parts = [slice(stop - n, stop) for n, stop in zip(counts.tolist(), stops.tolist(), strict=True)]
+        arrays = [pa.array([[h[p].min().view("i8") for h in hashes] for p in parts], pa.list_(pa.int64()))]
+        arrays += [pa.array([np.sort(r[p])[:k].view("i8") for p, k in zip(parts, room, strict=True)], pa.list_(pa.int64()))
+                   for r in ranks]
+        yield pa.RecordBatch.from_arrays([batch.column("_cls"), batch.column("_n"), *arrays],
+                                         names=["_cls", "_n", "_stars", "_o1", "_o2", "_o3"])
+
+
+def _seeded(t: np.ndarray, seed: int) -> np.ndarray:
+    return _mix(t ^ np.uint64((seed * 0x9E3779B97F4A7C15 + 1) & ((1 << 64) - 1)))
+
+
 def prefixes(sets: DataFrame) -> DataFrame:
-    """(_cls, _n, _stars, _o1, _o2, _o3): min-hash shingles, and the shared shingles of the prefix under
-    each order: (frequency, hash 1), (frequency, hash 2), (magnitude of the frequency, hash 3). All three
+    """(_cls, _n, _stars, _o1, _o2, _o3): min-hashes, and the shared shingles of the prefix under each
+    order: (frequency, hash 1), (frequency, hash 2), (magnitude of the frequency, hash 3). All three
     put shingles of one class alone first. Classes with more of these than may miss have no partner
     and are left out."""
     posting = sets.select("_cls", "_n", F.explode("_tokens").alias("_t"))
     freq = posting.groupBy("_t").agg(F.count(F.lit(1)).alias("_f")).where("_f > 1")
     own = posting.join(freq, "_t").groupBy("_cls", "_n").agg(F.collect_list(F.struct("_f", "_t")).alias("_own"))  # a set
     room = F.floor(F.col("_n") / 4).cast("int") + 1 - (F.col("_n") - F.size("_own")).cast("int")
-
-    def order(rank) -> Column:
-        ranked = F.array_sort(F.transform("_own", lambda x: F.struct(rank(x).alias("r"), x["_t"].alias("t"))))
-        return F.transform(F.slice(ranked, 1, F.col("_room")), lambda x: x["t"])
-
-    stars = [F.array_min(F.transform("_own", _star(s)))["t"] for s in range(STARS)]
-    return own.withColumn("_room", room).where("_room > 0").select(
-        "_cls", "_n", F.array(*stars).alias("_stars"),
-        order(lambda x: F.struct(x["_f"].alias("a"), F.xxhash64(x["_t"], F.lit(1)).alias("b"))).alias("_o1"),
-        order(lambda x: F.struct(x["_f"].alias("a"), F.xxhash64(x["_t"], F.lit(2)).alias("b"))).alias("_o2"),
-        order(lambda x: F.struct(F.floor(F.log2(x["_f"])).alias("a"), F.xxhash64(x["_t"], F.lit(3)).alias("b"))).alias("_o3"))
-
-
-def _star(seed: int):
-    return lambda x: F.struct(F.xxhash64(x["_t"], F.lit(100 + seed)).alias("h"), x["_t"].alias("t"))
+    own = own.withColumn("_room", room).where("_room > 0")
+    return own.mapInArrow(_ranked, "_cls long, _n long, _stars array<long>, _o1 array<long>, _o2 array<long>, _o3 array<long>")
 
 
 def _sizes_fit(a: str, b: str) -> Column:
