@@ -10,10 +10,10 @@ accordingly more. Equal sets are one class from the start. Then
    batch sends a shingle that several of its documents share once. Most documents end here.
 2. the survivors' shingles get their document frequencies, and each class its prefix under three
    orders that put rare shingles first and break ties differently.
-3. classes are merged along few verified links, found by min-hash stars, so that a large group of
-   near copies becomes one component without all its pairs.
+3. classes are merged along few verified links, found by min-hash stars around the most central class,
+   so that a large group of near copies becomes one component without all its pairs.
 4. candidates are then only pairs between different components that share prefix shingles under all
-   three orders; each is verified by its sets.
+   three orders and whose sizes leave room for a link; each is verified by its sets.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,7 +110,7 @@ def describe(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
     return rows.mapInArrow(run, f"_id {rows.schema['_id'].dataType.simpleString()}, _n long, _set binary")
 
 
-_PACK = "bucket int, sets binary, lengths binary, known binary, prints binary, shared binary"
+_PACK = "bucket int, batch string, sets binary, lengths binary, known binary, prints binary, shared binary"
 
 
 def _pack(sets: list[bytes], heads: list[np.ndarray], buckets: int) -> pd.DataFrame:
@@ -143,7 +144,8 @@ def _pack(sets: list[bytes], heads: list[np.ndarray], buckets: int) -> pd.DataFr
 
 
 def _count_shared(group: pd.DataFrame) -> pd.DataFrame:
-    """Of each set in a bucket the number of its fingerprints that another set has too."""
+    """For each batch with shingles in a bucket, of each of its sets the number of these that another
+    set has too: one packed row, so the rows are the packs and not sets times buckets."""
     digests = np.frombuffer(b"".join(group["sets"]), "V16")
     lengths = np.frombuffer(b"".join(group["lengths"]), "u4").astype("i8")
     known = np.frombuffer(b"".join(group["known"]), "u4").astype("i8")
@@ -155,11 +157,22 @@ def _count_shared(group: pd.DataFrame) -> pd.DataFrame:
     values, times = np.unique(pair >> np.uint64(32), return_counts=True)
     common = np.union1d(values[times > 1].astype("u4"), shared)
     hit = np.isin(prints, common)
-    total = known + np.bincount(row, weights=hit, minlength=len(digests)).astype("i8")
-    most = np.zeros(len(names), "i8")
-    np.maximum.at(most, number, total)  # the copies of a set count alike
-    some = most > 0
-    return pd.DataFrame({"_set": [x.tobytes() for x in names[some]], "_shared": most[some]})
+    total = (known + np.bincount(row, weights=hit, minlength=len(digests))).astype("u4")
+    ends = np.cumsum([len(x) // 16 for x in group["sets"]])
+    rows = []
+    for batch, stop, n in zip(group["batch"], ends.tolist(), np.diff(ends, prepend=0).tolist(), strict=True):
+        part = slice(stop - n, stop)
+        some = total[part] > 0
+        rows.append((batch, digests[part][some].tobytes(), total[part][some].tobytes()))
+    return pd.DataFrame(rows, columns=["batch", "sets", "counts"])
+
+
+def _sum_batch(group: pd.DataFrame) -> pd.DataFrame:
+    """The counts of a batch's sets over all buckets; a batch holds a set once."""
+    names, number = np.unique(np.frombuffer(b"".join(group["sets"]), "V16"), return_inverse=True)
+    counts = np.frombuffer(b"".join(group["counts"]), "u4")
+    return pd.DataFrame({"_set": [x.tobytes() for x in names],
+                         "_shared": np.bincount(number, weights=counts, minlength=len(names)).astype("i8")})
 
 
 def shared_in_prefix(docs: DataFrame, text_col: str, size: int, buckets: int) -> DataFrame:
@@ -167,9 +180,17 @@ def shared_in_prefix(docs: DataFrame, text_col: str, size: int, buckets: int) ->
     are absent. Equal fingerprints of different shingles can only make the number too large."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("bucket", pa.int32()), *[(c, pa.binary()) for c in ("sets", "lengths", "known", "prints", "shared")]])
+        schema = pa.schema([("bucket", pa.int32()), ("batch", pa.string()),
+                            *[(c, pa.binary()) for c in ("sets", "lengths", "known", "prints", "shared")]])
+        part, number = TaskContext.get().partitionId(), 0
         held: dict[bytes, np.ndarray] = {}
         count = 0
+
+        def packed() -> pa.RecordBatch:
+            rows = _pack(list(held), list(held.values()), buckets)
+            rows.insert(1, "batch", f"{part}-{number}")
+            return pa.RecordBatch.from_pandas(rows, schema, preserve_index=False)
+
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             for a, b in _slices(texts):
@@ -178,14 +199,15 @@ def shared_in_prefix(docs: DataFrame, text_col: str, size: int, buckets: int) ->
                         held[d] = s[: long_prefix(len(s))].copy()
                         count += len(held[d])
                 if count >= FLUSH_SHINGLES:
-                    yield pa.RecordBatch.from_pandas(_pack(list(held), list(held.values()), buckets), schema, preserve_index=False)
-                    held, count = {}, 0
+                    yield packed()
+                    number, held, count = number + 1, {}, 0
         if held:
-            yield pa.RecordBatch.from_pandas(_pack(list(held), list(held.values()), buckets), schema, preserve_index=False)
+            yield packed()
 
     packs = docs.select(F.col(text_col).alias("_text")).mapInArrow(send, _PACK)
-    found = packs.groupBy("bucket").applyInPandas(_count_shared, "_set binary, _shared long")
-    return found.groupBy("_set").agg(F.sum("_shared").alias("_shared"))
+    counted = packs.groupBy("bucket").applyInPandas(_count_shared, "batch string, sets binary, counts binary")
+    found = counted.groupBy("batch").applyInPandas(_sum_batch, "_set binary, _shared long")
+    return found.groupBy("_set").agg(F.max("_shared").alias("_shared"))  # copies in several batches count alike
 
 
 def fetch_sets(docs: DataFrame, alive: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -220,13 +242,15 @@ def _ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, size = np.minimum(f, np.uint64((1 << 20) - 1)), np.floor(np.log2(f)).astype("u8")
         ranks = [(of << np.uint64(43)) | (_seeded(t, k) >> np.uint64(21)) for k, of in enumerate((often, often, size))]
         hashes = [_seeded(t, 100 + k) for k in range(STARS)]
-        room = batch.column("_room").to_numpy()
+        room, size_of = batch.column("_room").to_numpy(), batch.column("_n").to_numpy()
         parts = [slice(stop - n, stop) for n, stop in zip(counts.tolist(), stops.tolist(), strict=True)]
         arrays = [pa.array([[h[p].min().view("i8") for h in hashes] for p in parts], pa.list_(pa.int64()))]
         arrays += [pa.array([np.sort(r[p])[:k].view("i8") for p, k in zip(parts, room, strict=True)], pa.list_(pa.int64()))
                    for r in ranks]
-        yield pa.RecordBatch.from_arrays([batch.column("_cls"), batch.column("_n"), *arrays],
-                                         names=["_cls", "_n", "_stars", "_o1", "_o2", "_o3"])
+        centre = [(f[p].sum() + n - len(f[p])) / n for p, n in zip(parts, size_of.tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("_cls"), batch.column("_n"), pa.array(counts, pa.int64()), pa.array(centre, pa.float64()), *arrays],
+            names=["_cls", "_n", "_own", "_centre", "_stars", "_o1", "_o2", "_o3"])
 
 
 def _seeded(t: np.ndarray, seed: int) -> np.ndarray:
@@ -234,7 +258,8 @@ def _seeded(t: np.ndarray, seed: int) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame) -> DataFrame:
-    """(_cls, _n, _stars, _o1, _o2, _o3): min-hashes, and the shared shingles of the prefix under each
+    """(_cls, _n, _own, _centre, _stars, _o1, _o2, _o3): the number of shared shingles, the mean
+    frequency of the set's, min-hashes, and the shared shingles of the prefix under each
     order: (frequency, hash 1), (frequency, hash 2), (magnitude of the frequency, hash 3). All three
     put shingles of one class alone first. Classes with more of these than may miss have no partner
     and are left out."""
@@ -243,11 +268,13 @@ def prefixes(sets: DataFrame) -> DataFrame:
     own = posting.join(freq, "_t").groupBy("_cls", "_n").agg(F.collect_list(F.struct("_f", "_t")).alias("_own"))  # a set
     room = F.floor(F.col("_n") / 4).cast("int") + 1 - (F.col("_n") - F.size("_own")).cast("int")
     own = own.withColumn("_room", room).where("_room > 0")
-    return own.mapInArrow(_ranked, "_cls long, _n long, _stars array<long>, _o1 array<long>, _o2 array<long>, _o3 array<long>")
+    return own.mapInArrow(_ranked, "_cls long, _n long, _own long, _centre double, _stars array<long>, _o1 array<long>, _o2 array<long>, _o3 array<long>")
 
 
-def _sizes_fit(a: str, b: str) -> Column:
-    return 100 * F.least(a, b) >= 75 * F.greatest(a, b)
+def _may_link(a: str, own_a: str, b: str, own_b: str) -> Column:
+    """Similarity of 0.75 needs 3/7 of both sizes together in common: no more than the smaller set, and
+    no more than either set shares with any other."""
+    return 7 * F.least(own_a, own_b) >= 3 * (F.col(a) + F.col(b))
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -259,12 +286,14 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def star_pairs(prefix: DataFrame) -> DataFrame:
-    """At most one pair (_a, _b) a class: with the class of smallest number among those that have one of
-    its min-hash shingles, the one met under most orders."""
-    mine = prefix.select("_cls", "_n", F.posexplode("_stars").alias("_s", "_t"))
-    heads = mine.groupBy("_s", "_t").agg(F.min(F.struct("_cls", "_n")).alias("_head"))
-    met = mine.join(heads, ["_s", "_t"]).where((F.col("_head")["_cls"] < F.col("_cls")))
-    met = met.select("_cls", "_n", F.col("_head")["_cls"].alias("_b"), F.col("_head")["_n"].alias("_nb")).where(_sizes_fit("_n", "_nb"))
+    """At most one pair (_a, _b) a class: with the most central class among those that have one of its
+    min-hashes, the one met under most orders. Central is the class whose shingles are the most
+    frequent: of a group of near copies the one nearest to what they are copies of."""
+    mine = prefix.select("_cls", "_n", "_own", "_centre", F.posexplode("_stars").alias("_s", "_t"))
+    heads = mine.groupBy("_s", "_t").agg(F.max(F.struct("_centre", (-F.col("_cls")).alias("_c"), "_n", "_own")).alias("_head"))
+    met = mine.join(heads, ["_s", "_t"]).select(
+        "_cls", "_n", "_own", (-F.col("_head")["_c"]).alias("_b"), F.col("_head")["_n"].alias("_nb"), F.col("_head")["_own"].alias("_ob"))
+    met = met.where((F.col("_b") != F.col("_cls")) & _may_link("_n", "_own", "_nb", "_ob"))
     votes = met.groupBy("_cls", "_b").agg(F.count(F.lit(1)).alias("_v"))
     return votes.groupBy(F.col("_cls").alias("_a")).agg(F.max_by("_b", F.struct("_v", -F.col("_b"))).alias("_b"))
 
@@ -285,18 +314,32 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             return labels.select("_cls", "_comp")
 
 
+def _open(postings: DataFrame) -> DataFrame:
+    """The postings that can still bring a pair: of shingles whose classes are in several components, of
+    classes with enough shingles from this one on (``_own``) for the smallest class it stands in."""
+    span = postings.groupBy("_t").agg(F.min("_comp").alias("_low"), F.max("_comp").alias("_high"), F.min("_n").alias("_least"))
+    fits = 3 * (F.col("_n") + F.col("_least")) <= 7 * F.col("_own")
+    return postings.join(span.where("_low < _high").select("_t", "_least"), "_t").where(fits).drop("_least")
+
+
 def candidate_pairs(prefix: DataFrame, comps: DataFrame) -> DataFrame:
     """Pairs (_a, _b) of classes in different components that share prefix shingles under every order.
-    Shingles whose classes are all in one component bring none; of the others a class meets the
-    components it is not in, and then their members with the shingle."""
+    Shingles whose classes are all in one component bring none, nor does a shingle that stands too late
+    in a set for the sizes at hand; of the others a class meets the components it is not in, and then
+    their members with the shingle."""
     rows = prefix.join(comps, "_cls")
-    first = rows.select("_cls", "_n", "_comp", F.explode("_o1").alias("_t"))
-    open_ = first.groupBy("_t").agg(F.min("_comp").alias("_low"), F.max("_comp").alias("_high")).where("_low < _high").select("_t")
-    first = stored(first.join(open_, "_t"), "open-postings")
+    # all that two sets have in common comes from their smallest common shingle on, in either set:
+    # ``_own`` of a posting counts the shared shingles from it on
+    first = rows.select("_cls", "_n", "_own", "_comp", F.posexplode("_o1").alias("_i", "_t"))
+    first = first.withColumn("_own", F.col("_own") - F.col("_i")).drop("_i")
+    first = stored(_open(stored(_open(first), "open-postings")), "open-postings")
     groups = first.select("_t", F.col("_comp").alias("_other")).distinct()
-    meet = first.join(groups, "_t").where("_comp < _other").select("_t", F.col("_cls").alias("_a"), F.col("_n").alias("_na"), "_other")
-    members = first.select("_t", F.col("_comp").alias("_other"), F.col("_cls").alias("_b"), F.col("_n").alias("_nb"))
-    pairs = meet.join(members, ["_t", "_other"]).where(_sizes_fit("_na", "_nb")).select("_a", "_b").distinct()
+    meet = first.join(groups, "_t").where("_comp < _other").select(
+        "_t", F.col("_cls").alias("_a"), F.col("_n").alias("_na"), F.col("_own").alias("_oa"), "_other")
+    members = first.select(F.col("_t").alias("_tb"), F.col("_comp").alias("_cb"), F.col("_cls").alias("_b"),
+                           F.col("_n").alias("_nb"), F.col("_own").alias("_ob"))
+    pairs = meet.join(members, (F.col("_t") == F.col("_tb")) & (F.col("_other") == F.col("_cb")) & _may_link("_na", "_oa", "_nb", "_ob"))
+    pairs = pairs.select("_a", "_b").distinct()
     a = prefix.select(F.col("_cls").alias("_a"), F.col("_o2").alias("_a2"), F.col("_o3").alias("_a3"))
     b = prefix.select(F.col("_cls").alias("_b"), F.col("_o2").alias("_b2"), F.col("_o3").alias("_b3"))
     both = pairs.join(a, "_a").join(b, "_b")
