@@ -333,8 +333,13 @@ def candidate_pairs(prefix: DataFrame, comps: DataFrame) -> DataFrame:
     first = rows.select("_cls", "_n", "_own", "_comp", F.posexplode("_o1").alias("_i", "_t"))
     first = first.withColumn("_own", F.col("_own") - F.col("_i")).drop("_i")
     first = stored(_open(stored(_open(first), "open-postings")), "open-postings")
-    groups = first.select("_t", F.col("_comp").alias("_other")).distinct()
-    meet = first.join(groups, "_t").where("_comp < _other").select(
+    # the few meet the many: a class looks up the components with more classes of the shingle than its own
+    # (ties by number), unless their smallest size or most shingles left rule out a link
+    groups = first.groupBy("_t", "_comp").agg(F.count(F.lit(1)).alias("_m"), F.min("_n").alias("_gn"), F.max("_own").alias("_go"))
+    others = groups.select(F.col("_t").alias("_to"), F.col("_comp").alias("_other"), F.col("_m").alias("_om"), "_gn", "_go")
+    mine = first.join(groups.select("_t", "_comp", "_m"), ["_t", "_comp"])
+    larger = F.struct("_m", "_comp") < F.struct("_om", "_other")
+    meet = mine.join(others, (F.col("_t") == F.col("_to")) & larger & _may_link("_n", "_own", "_gn", "_go")).select(
         "_t", F.col("_cls").alias("_a"), F.col("_n").alias("_na"), F.col("_own").alias("_oa"), "_other")
     members = first.select(F.col("_t").alias("_tb"), F.col("_comp").alias("_cb"), F.col("_cls").alias("_b"),
                            F.col("_n").alias("_nb"), F.col("_own").alias("_ob"))
