@@ -53,25 +53,23 @@ def uniform(seed: str, *columns: Column) -> Column:
 
 def target_shares(cells: DataFrame, dimension: str, targets: Mapping[str, float] | None) -> DataFrame:
     """``cells`` with ``_t_<dimension>``, the target share of each row's value among the values that occur.
-    Named shares that sum to more than one, or to less with no value left to take the rest, are scaled."""
-    value = F.col(dimension)
+    Named shares that sum to more than one, or to less with no value left to take the rest, are scaled;
+    if no value that occurs has a share, they keep their shares of the tokens."""
+    whole = Window.partitionBy(F.lit(0))
+    values = cells.groupBy(dimension).agg(F.sum("_tokens").cast("double").alias("_all"))
     if targets is None:
         share = F.lit(1.0)
     else:
         named = F.lit(None).cast("double")
         for v, s in targets.items():
-            named = F.when(value == v, F.lit(float(s))).otherwise(named)
+            named = F.when(F.col(dimension) == v, F.lit(float(s))).otherwise(named)
         rest = max(0.0, 1.0 - sum(targets.values()))
-        unnamed = F.sum(F.when(named.isNull(), F.col("_all")))
-        values = cells.groupBy(dimension).agg(F.sum("_tokens").cast("double").alias("_all"))
-        values = values.withColumn("_u", unnamed.over(Window.partitionBy(F.lit(0))))
-        share = F.coalesce(named, F.lit(rest) * F.col("_all") / F.col("_u"))
-        values = values.select(dimension, share.alias("_share"))
-    if targets is None:
-        values = cells.select(dimension).distinct().withColumn("_share", share)
-    total = F.sum("_share").over(Window.partitionBy(F.lit(0)))
-    values = values.select(dimension, (F.col("_share") / total).alias(f"_t_{dimension}"))
-    return cells.join(values, dimension)
+        unnamed = F.sum(F.when(named.isNull(), F.col("_all"))).over(whole)
+        share = F.coalesce(named, F.lit(rest) * F.col("_all") / unnamed)
+    values = values.withColumn("_share", share)
+    total = F.sum("_share").over(whole)
+    target = F.when(total > 0, F.col("_share") / total).otherwise(F.col("_all") / F.sum("_all").over(whole))
+    return cells.join(values.select(dimension, target.alias(f"_t_{dimension}")), dimension)
 
 
 def rake(cells: DataFrame, rounds: int = ROUNDS, dimensions=DIMENSIONS) -> DataFrame:
@@ -81,7 +79,8 @@ def rake(cells: DataFrame, rounds: int = ROUNDS, dimensions=DIMENSIONS) -> DataF
     cells = cells.withColumn("_weight", F.col("_tokens") / total)
     for turn in range(rounds):
         for d in dimensions:
-            cells = cells.withColumn("_weight", F.col("_weight") * F.col(f"_t_{d}") / F.sum("_weight").over(Window.partitionBy(d)))
+            held = F.sum("_weight").over(Window.partitionBy(d))
+            cells = cells.withColumn("_weight", F.when(held > 0, F.col("_weight") * F.col(f"_t_{d}") / held).otherwise(0.0))
         if turn % 4 == 3:  # short plans
             cells = stored(cells, "raked")
     return cells
@@ -95,7 +94,7 @@ def cell_probabilities(docs: DataFrame, targets=TARGETS, keep_share: float = KEE
         cells = target_shares(cells, d, targets[d])
     cells = rake(stored(cells, "cell-targets"), rounds)
     total = F.sum("_weight").over(Window.partitionBy(F.lit(0)))
-    wanted = F.sum("_tokens").over(Window.partitionBy(F.lit(0))) * F.lit(keep_share) * F.col("_weight") / total
+    wanted = F.when(total > 0, F.sum("_tokens").over(Window.partitionBy(F.lit(0))) * F.lit(keep_share) * F.col("_weight") / total).otherwise(0.0)
     return cells.withColumn("_p", F.round(F.least(F.lit(1.0), wanted / F.col("_tokens")), 9))
 
 
@@ -129,10 +128,11 @@ def sample(docs: DataFrame, targets=TARGETS, keep_share: float = KEEP_SHARE, see
     a row's own text gives its cell and its id the draw."""
     facts = _facts(docs, id_col, text_col, source_col, lang_col)
     cells = cell_probabilities(stored(facts, "document-facts"), targets, keep_share, rounds)
-    names = [f"__mix_{d}" for d in DIMENSIONS]
-    cells = cells.select(*[F.col(d).alias(n) for d, n in zip(DIMENSIONS, names, strict=True)], F.col("_p").alias("__mix_p"))
     text = text_or_empty(text_col)
-    own = [F.coalesce(F.col(source_col).cast("string"), F.lit(UNKNOWN)), F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)),
-           topic(text)]
-    rows = docs.select("*", *[c.alias(n) for c, n in zip(own, names, strict=True)]).where(text.rlike(r"[^\x20\x09-\x0D]"))
-    return rows.join(cells, names).where(uniform(seed, F.col(id_col)) < F.col("__mix_p")).select(*docs.columns)
+    rows = docs.select(  # the row in one column: its own columns may have any names
+        F.struct("*").alias("row"), F.col(id_col).alias("id"),
+        F.coalesce(F.col(source_col).cast("string"), F.lit(UNKNOWN)).alias("source"),
+        F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), topic(text).alias("topic"),
+        text.rlike(r"[^\x20\x09-\x0D]").alias("some"))
+    cells = cells.select(*DIMENSIONS, F.col("_p").alias("p"))
+    return rows.where("some").join(cells, list(DIMENSIONS)).where(uniform(seed, F.col("id")) < F.col("p")).select("row.*")
