@@ -11,6 +11,9 @@ dictionary are shuffled; all others pass straight through.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -180,7 +183,10 @@ def pseudonymise(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_c
     found by their titles only. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    some = F.coalesce(F.col("_text").rlike(ENTITY), F.lit(False))
+    # every entity has a digit, an @ or a title; most texts have none, which is quickly seen
+    hint = reduce(or_, [F.col("_text").contains(t) for t in MALE_TITLES + FEMALE_TITLES + NEUTRAL_TITLES],
+                  F.col("_text").rlike("[0-9@]"))
+    some = F.coalesce(hint & F.col("_text").rlike(ENTITY), F.lit(False))
     dirty = stored(rows.where(some).select("_id", "_text", F.regexp_extract_all("_text", F.lit(ENTITY), F.lit(0)).alias("_hits"))
                    .withColumn("_row", F.monotonically_increasing_id()), "texts-with-entities")
     mentions = dirty.select(F.explode(F.array_distinct("_hits")).alias("mention")).distinct()
