@@ -24,7 +24,7 @@ MAX_LABELLED = 20_000  # labelled documents used for training, chosen by the has
 MAX_UNLABELLED = 20_000  # about as many unlabelled documents exchanged between the views
 ROUNDS = 4
 SURE = 0.98  # probability from which a view hands a document to the other one
-REJECT_BELOW = 0.35  # probability of good quality under which a document goes
+REJECT_BELOW = 0.2  # probability of good quality under which a document goes
 
 SOURCE_SLOTS, LANG_SLOTS = 64, 16
 CONTENT = ("upper", "digit", "mark", "odd_mark", "bang", "other", "words_log", "word_length", "distinct_words", "top_word",
@@ -160,7 +160,7 @@ def co_train(content: np.ndarray, meta: np.ndarray, y: np.ndarray, held: np.ndar
             given[taker] |= new
             pools[taker] = (np.vstack([pools[taker][0], more[taker][new]]), np.append(pools[taker][1], (p[new] > 0.5).astype("f8")))
     each = np.column_stack([c.logit(v.logit(x[held])[:, None]) for c, v, x in zip(calibration, views, data, strict=True)])
-    return CoTrained(float(y.mean()), tuple(views), tuple(calibration), Logistic(ridge=1.0).fit(each, y[held]),
+    return CoTrained(float(y.mean()), tuple(views), tuple(calibration), Logistic(ridge=0.05).fit(each, y[held]),
                      (int(given[0].sum()), int(given[1].sum())))
 
 
@@ -183,22 +183,26 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     # the broadcast side has at most MAX_LABELLED rows of 12 bytes
     rows = rows.join(F.broadcast(known), F.col("_id") == F.col("_lid"), "left")
     draw = F.pmod(F.xxhash64("_id", F.lit(17)), F.lit(1_000_000)) < int(share * 1_000_000)
-    rows = rows.where(F.col("_y").isNotNull() | draw).withColumn("_held", F.pmod(F.xxhash64("_id", F.lit(23)), F.lit(4)) == 0)
+    rows = rows.where(F.col("_y").isNotNull() | draw)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             dense, slots = feature_rows(batch)
-            yield pd.DataFrame({"_id": batch["_id"].astype("string"), "y": batch["_y"].astype("Int32"), "held": batch["_held"],
+            yield pd.DataFrame({"_id": batch["_id"].astype("string"), "y": batch["_y"].astype("Int32"),
                                 "dense": [x.tobytes() for x in dense], "source": slots[:, 0], "lang": slots[:, 1]})
 
     got = rows.withColumn("_id", F.col("_id").cast("string")).mapInPandas(
-        features, "_id string, y int, held boolean, dense binary, source int, lang int")
+        features, "_id string, y int, dense binary, source int, lang int")
     # about a hundred bytes a row; sorted, as the fit must not depend on the order of tasks
     got = got.toPandas().sort_values(["_id", "dense"], kind="stable")
     dense = np.frombuffer(b"".join(got["dense"]), "f4").reshape(len(got), len(CONTENT) + len(LAYOUT))
     content, meta = views(dense, got[["source", "lang"]].to_numpy("i4").reshape(len(got), 2))
     has = got["y"].notna().to_numpy(bool)
-    return co_train(content[has], meta[has], got["y"][has].to_numpy("i8"), got["held"][has].to_numpy(bool), content[~has], meta[~has])
+    y = got["y"][has].to_numpy("i8")
+    held = np.zeros(len(y), bool)
+    for k in (0, 1):  # every fourth of either class
+        held[np.flatnonzero(y == k)[::4]] = True
+    return co_train(content[has], meta[has], y, held, content[~has], meta[~has])
 
 
 def score(docs: DataFrame, model: CoTrained, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
