@@ -32,8 +32,8 @@ from wayfarer.llm.common import LOWER, UPPER, stored
 from wayfarer.llm.token_binary import RangeHash
 
 SHINGLE = 5
-BUCKET_SHINGLES = 2_000_000  # fingerprints counted together
-FLUSH_SHINGLES = 2_000_000  # fingerprints a task holds before it sends them on
+BUCKET_SHINGLES = 1_000_000  # fingerprints counted together
+FLUSH_SHINGLES = 500_000  # fingerprints a task holds before it sends them on
 STARS = 6  # min-hash orders of the merging step
 ORDERS = 3
 
@@ -70,7 +70,7 @@ def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarra
     return [np.unique(h[a:b]) for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
 
 
-def _slices(texts: list[str | None], size: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def _slices(texts: list[str | None], size: int = 1 << 19) -> Iterator[tuple[int, int]]:
     start = total = 0
     for k, t in enumerate(texts):
         total += len(t or "")
