@@ -87,6 +87,16 @@ def test_special_rows(spark):
     assert len({r.kept for r in found if r.doc_id == 5}) == 1
 
 
+def test_values_without_a_named_share_are_kept(spark):
+    rows = [(i, "w " * 50, lang, "s", "t", 1, "x") for i, lang in enumerate(["en", "de", "fr", "es", "it", "zh", None] * 20)]
+    found = M.mix(table(spark, rows)).collect()
+    by = {r.lang: r.probability for r in found}
+    assert set(by) == {"en", "de", "fr", "es", "it", "zh", "?"} and min(by.values()) > 0
+    assert {"it", "zh", "?"} <= {r.lang for r in found if r.kept}
+    only = M.mix(table(spark, [(1, "a b", "it", "s", "t", 1, "x")])).collect()
+    assert only[0].probability > 0
+
+
 def test_sample_keeps_the_same_rows(spark):
     docs = spark.read.parquet(path("documents"))
     kept = {r.doc_id for r in M.mix(docs).where("kept").collect()}

@@ -18,6 +18,7 @@ from wayfarer.llm.common import SPACE_RUN, stored, text_or_empty
 DIMENSIONS = ("source", "lang", "topic")
 ROUNDS = 12
 UNKNOWN = "?"  # stands for NULL in a dimension
+LEAST_REST = 1e-9  # a smaller rest of the named shares is a rounding error
 
 # Topics by the first pattern that a text contains; the rest are "prose".
 TOPICS = (("legal", r"[Ll]icen[cs]e|[Cc]opyright"), ("contact", r"@|\+[0-9]{1,3} \("), ("data", r"[0-9]{6}"))
@@ -54,7 +55,8 @@ def uniform(seed: str, *columns: Column) -> Column:
 def target_shares(cells: DataFrame, dimension: str, targets: Mapping[str, float] | None) -> DataFrame:
     """``cells`` with ``_t_<dimension>``, the target share of each row's value among the values that occur.
     Named shares that sum to more than one, or to less with no value left to take the rest, are scaled;
-    if no value that occurs has a share, they keep their shares of the tokens."""
+    if they leave nothing to values that are not named, these keep their shares of the tokens and the named
+    ones share the others; if no value that occurs has a share, all keep their shares of the tokens."""
     whole = Window.partitionBy(F.lit(0))
     values = cells.groupBy(dimension).agg(F.sum("_tokens").cast("double").alias("_all"))
     if targets is None:
@@ -65,8 +67,12 @@ def target_shares(cells: DataFrame, dimension: str, targets: Mapping[str, float]
             named = F.when(F.col(dimension) == v, F.lit(float(s))).otherwise(named)
         rest = max(0.0, 1.0 - sum(targets.values()))
         unnamed = F.sum(F.when(named.isNull(), F.col("_all"))).over(whole)
-        share = F.coalesce(named, F.lit(rest) * F.col("_all") / unnamed)
-    values = values.withColumn("_share", share)
+        if rest < LEAST_REST:
+            others = F.sum(F.when(named.isNotNull(), F.col("_all"))).over(whole)
+            share = F.coalesce(named, F.sum(named).over(whole) * F.col("_all") / others)
+        else:
+            share = F.coalesce(named, F.lit(rest) * F.col("_all") / unnamed)
+    values = values.withColumn("_share", F.coalesce(share, F.lit(0.0)))
     total = F.sum("_share").over(whole)
     target = F.when(total > 0, F.col("_share") / total).otherwise(F.col("_all") / F.sum("_all").over(whole))
     return cells.join(values.select(dimension, target.alias(f"_t_{dimension}")), dimension)
