@@ -97,6 +97,35 @@ def test_values_without_a_named_share_are_kept(spark):
     assert only[0].probability > 0
 
 
+def test_skewed_cells_meet_the_targets_under_the_bound(spark):
+    """A source with a third of the tokens and two small ones: what cells and sources at their bound
+    cannot give comes from the others."""
+    langs, topics = {"en": 0.5, "de": 0.3, "fr": 0.1, "es": 0.1}, {"prose": 0.92, "legal": 0.03, "contact": 0.03, "data": 0.02}
+    sources = {f"s{k}": n for k, n in enumerate([1_500_000, *[400_000] * 7, 50_000, 50_000])}
+    rows = [(s, g, t, int(n * a * b * (1 + (i * 7 + j * 5 + k * 3) % 11 / 4)) + 1) for i, (s, n) in enumerate(sources.items())
+            for j, (g, a) in enumerate(langs.items()) for k, (t, b) in enumerate(topics.items())]
+    cells = M.cell_probabilities(spark.createDataFrame(rows, "source string, lang string, topic string, _n long")).collect()
+    total = sum(r._tokens for r in cells)
+    assert sum(r._p == 1 for r in cells) > 20 and all(0 < r._p <= 1 for r in cells)
+    assert sum(r._tokens * r._p for r in cells) == pytest.approx(total * M.KEEP_SHARE, rel=1e-3)
+    for d in M.DIMENSIONS:
+        got, goal, there = defaultdict(float), {}, defaultdict(int)
+        for r in cells:
+            got[r[d]] += r._tokens * r._p
+            there[r[d]] += r._tokens
+            goal[r[d]] = r[f"_g_{d}"]
+        for v, n in got.items():
+            assert n == pytest.approx(goal[v], abs=2e-4 * total)
+        if d == "source":  # the same for each, or all there is
+            assert all(goal[v] == pytest.approx(min(there[v], max(goal.values()))) for v in goal)
+        else:
+            want = dict(M.TARGETS[d])
+            if d == "topic":
+                want["prose"] = 1 - sum(want.values())
+            for v, s in want.items():
+                assert goal[v] == pytest.approx(s * total * M.KEEP_SHARE)
+
+
 def test_sample_keeps_the_same_rows(spark):
     docs = spark.read.parquet(path("documents"))
     kept = {r.doc_id for r in M.mix(docs).where("kept").collect()}

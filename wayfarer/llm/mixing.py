@@ -1,22 +1,29 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 The corpus is summed once into cells (source, language, topic) with their tokens. Raking scales the
-cells' weights to the targets of one marginal after the other until all fit; the tables it works on
-have one row for each cell. A cell's weight against its tokens gives the probability with which its
-documents are kept, and a keyed hash of the document decides, so a repeated run or task decides alike.
+shares of the cells' tokens that are kept, none above one, to the targets of one marginal after the
+other until all fit; the tables it works on have one row for each cell. A cell's share is the probability
+with which its documents are kept, and a keyed hash of the document decides, so a repeated run or task
+decides alike.
 """
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfarer.llm.common import SPACE_RUN, stored, text_or_empty
 
 DIMENSIONS = ("source", "lang", "topic")
-ROUNDS = 12
+ROUNDS = 12  # at least
+MAX_ROUNDS = 1000
+LEAST = 1e-5  # share of a cell's tokens that is kept at least, unless a target of its is 0
+STALLED = 10  # rounds in which the distance from the targets must fall by a twentieth
+TOLERANCE = 1e-4  # of the wanted tokens, that a value may be off its target
 UNKNOWN = "?"  # stands for NULL in a dimension
 LEAST_REST = 1e-9  # a smaller rest of the named shares is a rounding error
 
@@ -78,30 +85,85 @@ def target_shares(cells: DataFrame, dimension: str, targets: Mapping[str, float]
     return cells.join(values.select(dimension, target.alias(f"_t_{dimension}")), dimension)
 
 
-def rake(cells: DataFrame, rounds: int = ROUNDS, dimensions=DIMENSIONS) -> DataFrame:
-    """``cells`` with ``_weight``: after each step the weights of one dimension's values sum to their
-    targets; they start from the tokens. The rows are the cells, few whatever the corpus's size."""
-    total = F.sum("_tokens").over(Window.partitionBy(F.lit(0)))
-    cells = cells.withColumn("_weight", F.col("_tokens") / total)
-    for turn in range(rounds):
-        for d in dimensions:
-            held = F.sum("_weight").over(Window.partitionBy(d))
-            cells = cells.withColumn("_weight", F.when(held > 0, F.col("_weight") * F.col(f"_t_{d}") / held).otherwise(0.0))
-        if turn % 4 == 3:  # short plans
-            cells = stored(cells, "raked")
-    return cells
+def factors(size: np.ndarray, per_unit: np.ndarray, group: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """For each group the factor ``a`` with which its rows' ``size * min(1, a * per_unit)`` sum to ``wanted``, or
+    with which all are whole. That sum is the least of its values with the rows of the largest ``per_unit``
+    counted as whole, so the factor is the largest that one such choice gives."""
+    order = np.lexsort((per_unit, group))
+    n, part, of = size[order], (size * per_unit)[order], group[order]
+    starts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+    rows = np.diff(np.append(starts, len(of)))
+
+    def rising(x: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.cumsum(y) for y in np.split(x, starts[1:])])
+
+    whole = np.repeat(np.add.reduceat(n, starts), rows) - rising(n)
+    scaled = rising(part)
+    tried = np.where(scaled > 0, (wanted[of] - whole) / np.where(scaled > 0, scaled, 1.0), 0.0)
+    return np.clip(np.maximum.reduceat(tried, starts), 0.0, 1e100)
+
+
+def rake(tokens: np.ndarray, codes: list[np.ndarray], shares: list[np.ndarray], keep_share: float,
+         rounds: int = ROUNDS) -> tuple[np.ndarray, list[np.ndarray], float]:
+    """The share of each cell's ``tokens`` to keep, the tokens wanted of each value of each dimension, and the
+    largest distance of a value's kept tokens from those, as a share of all that are wanted. ``codes`` number
+    each dimension's values, ``shares`` are their target shares.
+
+    A value gets its share of the wanted total, or all its tokens where these are fewer; the others
+    share what it leaves. A cell's share is the product of one factor for each of its values, at most one. A step fits
+    one dimension's factors, with the cells that the bound holds counted as they are, so what they cannot
+    give comes from the other cells. At least ``rounds`` rounds, then until the distance is within
+    ``TOLERANCE`` or no longer falls, at most ``MAX_ROUNDS``: targets that no choice under the bound meets
+    together leave a gap, and would bring some cells to nothing but for ``LEAST``."""
+    total = tokens.sum() * keep_share
+    goals = []
+    for code, share in zip(codes, shares, strict=True):
+        there = np.bincount(code, weights=tokens, minlength=len(share))
+        a = factors(there, share / there, np.zeros(len(share), "i8"), np.array([total]))
+        goals.append(there * np.minimum(1.0, a * share / there))
+    fit = [np.ones(len(share)) for share in shares]
+    least = np.where(np.all([g[c] > 0 for g, c in zip(goals, codes, strict=True)], axis=0), LEAST, 0.0)
+    off: list[float] = []
+    while len(off) < max(rounds, 1) or (off[-1] > TOLERANCE and len(off) < MAX_ROUNDS and not (
+            len(off) > STALLED and off[-1] > 0.95 * off[-1 - STALLED])):
+        for d, code in enumerate(codes):
+            others = np.prod([fit[k][c] for k, c in enumerate(codes) if k != d], axis=0)
+            fit[d] = factors(tokens, others, code, goals[d])
+        p = np.minimum(1.0, np.maximum(least, np.prod([f[c] for f, c in zip(fit, codes, strict=True)], axis=0)))
+        kept = [np.bincount(c, weights=tokens * p) for c in codes]
+        off.append(max(float(np.abs(k - g).max()) for k, g in zip(kept, goals, strict=True)) / max(total, 1e-300))
+    return p, goals, off[-1]
 
 
 def cell_probabilities(docs: DataFrame, targets=TARGETS, keep_share: float = KEEP_SHARE, rounds: int = ROUNDS) -> DataFrame:
-    """(source, lang, topic, _tokens, _weight, _p) of ``docs`` with the three dimensions and ``_n`` tokens.
-    ``_p`` is the share of the cell's tokens that gives it its weight of the wanted total, at most one."""
+    """(source, lang, topic, _tokens, _g_source, _g_lang, _g_topic, _p) of ``docs`` with the three dimensions
+    and ``_n`` tokens: the tokens wanted of the cell's source, language and topic, and the share of the
+    cell's that is kept, at most one. The cells, few whatever the corpus's size, are raked on the driver; a
+    gap above ``TOLERANCE`` is told in a warning."""
     cells = stored(docs.groupBy(*DIMENSIONS).agg(F.sum("_n").alias("_tokens")).where("_tokens > 0"), "cells")
     for d in DIMENSIONS:
         cells = target_shares(cells, d, targets[d])
-    cells = rake(stored(cells, "cell-targets"), rounds)
-    total = F.sum("_weight").over(Window.partitionBy(F.lit(0)))
-    wanted = F.when(total > 0, F.sum("_tokens").over(Window.partitionBy(F.lit(0))) * F.lit(keep_share) * F.col("_weight") / total).otherwise(0.0)
-    return cells.withColumn("_p", F.round(F.least(F.lit(1.0), wanted / F.col("_tokens")), 9))
+    found = cells.toArrow().to_pandas().sort_values(list(DIMENSIONS), ignore_index=True)
+    size = found["_tokens"].to_numpy("f8")
+    out = found[[*DIMENSIONS, "_tokens"]].copy()
+    names = [f"_g_{d}" for d in DIMENSIONS]
+    if len(found):
+        codes, shares = [], []
+        for d in DIMENSIONS:
+            _, first, code = np.unique(found[d].to_numpy(str), return_index=True, return_inverse=True)
+            codes.append(code)
+            shares.append(found[f"_t_{d}"].to_numpy("f8")[first])
+        p, goals, left = rake(size, codes, shares, keep_share, rounds)
+        if left > TOLERANCE:
+            warnings.warn(f"mixing: some value's tokens are {left:.6f} of the wanted total off its target", stacklevel=2)
+        for name, goal, code in zip(names, goals, codes, strict=True):
+            out[name] = goal[code]
+        out["_p"] = np.round(p, 9)
+    else:
+        out = out.reindex(columns=[*out.columns, *names, "_p"])
+    schema = "source string, lang string, topic string, _tokens long, _g_source double, _g_lang double, _g_topic double, _p double"
+    rows = list(out.astype(object).itertuples(index=False, name=None))
+    return stored(docs.sparkSession.createDataFrame(rows, schema), "raked")
 
 
 def _facts(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str) -> DataFrame:
@@ -116,9 +178,9 @@ def mix(docs: DataFrame, targets=TARGETS, keep_share: float = KEEP_SHARE, seed:
     """One row per row of ``docs``: ``id_col``, source, lang, topic, n_tokens, probability, kept.
 
     NULL in a dimension counts as the value ``?``; NULL text as empty. Documents without tokens are in no
-    cell: probability 0, dropped. A cell that would need more than its tokens keeps all of them (no
-    document is repeated), so its share stays below the target. Rows that repeat an id are decided
-    alike. An empty table gives an empty result. Other columns are not read.
+    cell: probability 0, dropped. No document is repeated: a cell that would need more than its tokens keeps
+    all of them, and a value of which there are fewer tokens than its target; the others share what these
+    leave. Rows that repeat an id are decided alike. An empty table gives an empty result. Other columns are not read.
     """
     facts = stored(_facts(docs, id_col, text_col, source_col, lang_col), "document-facts")
     cells = cell_probabilities(facts, targets, keep_share, rounds).select(*DIMENSIONS, "_p")
