@@ -27,6 +27,22 @@ def test_entities_go_and_formats_stay(docs):
     assert (found[1].n_phone, found[2].n_card, found[3].n_ip, found[3].n_ssn, found[4].n_name) == (3, 3, 1, 1, 5)
 
 
+NUMBERS = ["+44 20 7946 0958", "+33 1 23 45 67 89", "+49 30 123456", "+34 912 34 56 78", "+49 151 23456789", "555 123 4567",
+           "+44 (0)20 7946 0958", "+390612345678", "+49-30-123456", "+33.1.23.45.67.89", "01 23 45 67 89", "(030) 123456",
+           "030/123456", "0151-23456789", "0049 30 123456", "912 34 56 78", "+33\u00a01\u00a023\u00a045\u00a067\u00a089"]
+
+
+def test_numbers_of_other_countries_go(docs):
+    found = said(P.pseudonymise(docs([(i, f"Tel. {n}, or write.") for i, n in enumerate(NUMBERS)])))
+    for i, n in enumerate(NUMBERS):
+        text = found[i].text
+        assert found[i].n_phone == 1 and n not in text, n
+        assert re.sub(r"\d", "9", text) == re.sub(r"\d", "9", f"Tel. {n}, or write.")
+    others = ["on 01.02.2024 12:30", "05-06-2024", "0.1234567", "1,000,000,000", "2024-01-02", "+5 and 12 345"]
+    found = said(P.pseudonymise(docs(list(enumerate(others)))))
+    assert [found[i].text for i in range(len(others))] == others
+
+
 def test_coreference(docs):
     found = said(P.pseudonymise(docs(list(enumerate(TEXTS)))))
     digits = [re.sub(r"\D", "", x) for x in re.findall(r"\d{4}[ -]?\d{4}[ -]?\d{4}[ -]?\d{4}", found[2].text)]

@@ -28,15 +28,21 @@ NEUTRAL_TITLES = ("Dr", "Prof")
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
-PHONE = (r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+_SEP = r"(?:[ .\u00A0\u202F-]|[ .\u00A0\u202F-]?\(|\)[ .\u00A0\u202F-]?)?"  # between two digits of a number
+_DATE = r"[0-9]{2}[./-][0-9]{2}[./-](?:[0-9]{4}|[0-9]{2})(?![0-9]|[./-][0-9])"
+PHONE = (r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+         rf"|\+\(?[0-9](?:{_SEP}[0-9]){{6,14}}(?![0-9])"
          r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9])"
-         r"|(?<![0-9.-])[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?![0-9])")
+         r"|(?<![0-9.-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")
+# national forms: with a leading 0 (00 before a country code), or groups of a nine-digit number
+LOCAL = (rf"(?<![0-9A-Za-z.,+/-])(?!{_DATE})\(?00?[1-9](?:/?{_SEP}[0-9]){{5,13}}(?![0-9])"
+         r"|(?<![0-9.,-])[6-9][0-9]{2} (?:[0-9]{3} [0-9]{3}|[0-9]{2} [0-9]{2} [0-9]{2})(?![0-9])")
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 CARD = r"(?<![0-9])[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}(?![0-9])"
 _TITLES = "|".join(MALE_TITLES + FEMALE_TITLES + NEUTRAL_TITLES)
 _WORD = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
 NAME = rf"(?<!\p{{L}})(?:{_TITLES})\.? {_WORD}(?: {_WORD})?"
-ENTITY = f"{EMAIL}|{IP}|{PHONE}|{SSN}|{CARD}|{NAME}"
+ENTITY = f"{EMAIL}|{IP}|{PHONE}|{SSN}|{CARD}|{LOCAL}|{NAME}"
 
 KINDS = ("email", "ip", "phone", "ssn", "card", "name")
 
@@ -52,7 +58,7 @@ def kind_of(mention: Column) -> Column:
             .when(mention.rlike(r"\p{L}"), "name")
             .when(mention.rlike(rf"^(?:{IP})$"), "ip")
             .when(mention.rlike(rf"^(?:{SSN})$"), "ssn")
-            .when(mention.rlike(r"^[+(]") | (digits < 13), "phone")
+            .when(mention.rlike(r"^(?:[+(]|00)") | (digits < 13), "phone")
             .otherwise("card"))
 
 
