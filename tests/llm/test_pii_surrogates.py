@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from tests.llm.conftest import path
 from wayfarer.llm import pii_surrogates as P
 
@@ -79,6 +81,26 @@ def test_meeting_draws_are_drawn_again(spark, monkeypatch):
     assert len(made) == len(set(made)) == 20
 
 
+def test_more_names_than_short_surrogates(spark):
+    """70,000 surnames: four syllables give 65,536."""
+    rows = spark.range(70_000).selectExpr("'name' AS kind", "concat('s', translate(cast(id AS string), '0123456789', 'abcdefghij')) AS canon",
+                                          "'none' AS gender")
+    made = P.surrogates(rows, "k", "many").selectExpr("count(*) AS n", "count(DISTINCT lower(made)) AS m").first()
+    assert (made.n, made.m) == (70_000, 70_000)
+
+
+def test_formats_that_are_used_up_grow(spark, monkeypatch):
+    """All hundred numbers of two digits and all letters before an @ of one are entities."""
+    monkeypatch.setattr(P, "KEPT_DRAWS", 1)
+    rows = [("phone", f"{i:02d}", "none") for i in range(100)] + [("email", f"{c}@{d}.de", "none") for c in "abcdefghijklmnopqrstuvwxyz" for d in "ab"]
+    entities = spark.createDataFrame(rows, "kind string, canon string, gender string")
+    made = P.surrogates(entities, "k", "full").collect()
+    assert len(made) == len({(r.kind, r.made) for r in made}) == len(rows)
+    assert not {(r.kind, r.made) for r in made} & {(k, c) for k, c, _ in rows}
+    said = spark.range(1).select(P.written(F.lit("0 1"), F.lit("phone"), F.lit("734"))).first()[0]
+    assert said == "7 34"
+
+
 def test_key_decides(docs):
     one, same, other = (said(P.pseudonymise(docs([(1, TEXTS[0])]), key=k))[1].text for k in ("a", "a", "b"))
     assert one == same != other

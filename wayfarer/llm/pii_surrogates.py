@@ -12,6 +12,7 @@ dictionary are shuffled; all others pass straight through.
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from wayfarer.llm.common import stored
 
 KEY = "wayfarer-surrogates"  # a deployment passes its own secret
-MAX_DRAWS = 12
+KEPT_DRAWS = 12  # draws in the entity's own format; each later one is a place longer
 
 MALE_TITLES = ("Mr", "Sir", "Herr", "Señor", "Sr", "Monsieur", "Господин", "г-н")
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Señora", "Sra", "Madame", "Mme", "Госпожа", "г-жа")
@@ -98,9 +99,10 @@ def _chars(shape: Column, stream: Column) -> Column:
     return F.array_join(F.transform(F.split(shape, ""), one), "")
 
 
-def _name(canon: Column, gender: Column, seed: Column) -> Column:
+def _name(canon: Column, gender: Column, seed: Column, draw: Column) -> Column:
     """Each word becomes a name of its own script; a given name (all words but the last of several)
-    ends as its gender does, so a surname alone and with a given name agree."""
+    ends as its gender does, so a surname alone and with a given name agree. Four syllables, and one more
+    with each draw, so there are names enough for any number of entities."""
     words = F.split(canon, " ")
 
     def one(w: Column, i: Column) -> Column:
@@ -110,9 +112,10 @@ def _name(canon: Column, gender: Column, seed: Column) -> Column:
 
         def made(table: tuple[str, ...], endings: dict[str, str]) -> Column:
             pool = F.array(*[F.lit(s) for s in table])
-            syllables = [F.element_at(pool, F.pmod(_byte(stream, F.lit(k)), F.lit(len(table))).cast("int") + 1) for k in range(4)]
+            syllables = F.array_join(F.transform(F.sequence(F.lit(0), draw + 3), lambda k: F.element_at(
+                pool, F.pmod(_byte(stream, k), F.lit(len(table))).cast("int") + 1)), "")
             end = F.when(role == "male", endings["male"]).when(role == "female", endings["female"]).otherwise(endings["none"])
-            return F.initcap(F.concat(*syllables, end))
+            return F.initcap(F.concat(syllables, end))
 
         return F.when(script == "cyrillic", made(CYRILLIC, ENDINGS["cyrillic"])).otherwise(made(LATIN, ENDINGS["latin"]))
 
@@ -124,23 +127,26 @@ def draw(entities: DataFrame, key: str) -> DataFrame:
     seed = F.concat_ws("|", F.lit(key), "kind", F.when(F.col("kind") != "name", F.col("canon")).otherwise(""), F.col("draw").cast("string"))
     entities = entities.withColumn("_seed", seed).withColumn("_stream", _stream(F.col("_seed")))
     seed, stream = F.col("_seed"), F.col("_stream")
-    octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (F.pmod(_byte(stream, i), F.lit(254)) + 1).cast("string")), ".")
+    extra = F.greatest(F.lit(0), F.col("draw") - (KEPT_DRAWS - 1))
+    octets = F.array_join(F.transform(F.sequence(F.lit(0), extra + 3), lambda i: (F.pmod(_byte(stream, i), F.lit(254)) + 1).cast("string")), ".")
     at = F.instr("canon", "@")
     last_dot = F.length("canon") - F.instr(F.reverse("canon"), ".") + 1  # the top-level domain stays
     email = F.concat(_chars(F.substr("canon", F.lit(1), last_dot - 1), stream), F.substr("canon", last_dot))
-    made = (F.when(F.col("kind") == "ip", octets).when(F.col("kind") == "name", _name(F.col("canon"), F.col("gender"), seed))
+    email = F.concat(_chars(F.repeat(F.lit("x"), extra), F.reverse(stream)), email)
+    made = (F.when(F.col("kind") == "ip", octets).when(F.col("kind") == "name", _name(F.col("canon"), F.col("gender"), seed, F.col("draw")))
             .when((F.col("kind") == "email") & (at > 0), email)
-            .otherwise(_chars(F.col("canon"), stream)))
+            .otherwise(_chars(F.concat(F.col("canon"), F.repeat(F.lit("0"), extra)), stream)))
     return entities.withColumn("made", made).drop("_seed", "_stream")
 
 
 def surrogates(entities: DataFrame, key: str, name: str = "surrogates") -> DataFrame:
     """(kind, canon, made): distinct surrogates of distinct entities, none of them an entity itself.
-    Each round draws again for the entities that met another; few or none after the first."""
+    Each round draws again for the entities that met another; few or none after the first. Names grow
+    with each draw, the others once ``KEPT_DRAWS`` in their own format have met others, so rounds end."""
     entities = stored(entities.withColumn("draw", F.lit(0)), f"{name}-entities")
     real = entities.select("kind", F.col("canon").alias("made"))
     done, open_ = None, stored(draw(entities, key), f"{name}-0")
-    for turn in range(1, MAX_DRAWS + 1):
+    for turn in count(1):
         firsts = open_.groupBy("kind", F.lower("made").alias("low")).agg(F.min("canon").alias("canon"))
         good = open_.join(firsts.select("kind", "canon"), ["kind", "canon"], "left_semi")
         good = good.join(real, (good.kind == real.kind) & (F.lower(good.made) == real.made), "left_anti")
@@ -153,18 +159,19 @@ def surrogates(entities: DataFrame, key: str, name: str = "surrogates") -> DataF
         if left.isEmpty():
             return done
         open_ = stored(draw(left.drop("made").withColumn("draw", F.lit(turn)), key), f"{name}-{turn}")
-    raise ValueError(f"no distinct surrogates after {MAX_DRAWS} draws: too many entities of one short format")
 
 
 def written(mention: Column, kind: Column, made: Column) -> Column:
-    """The surrogate in the mention's format: digits take their places, a name keeps its title."""
+    """The surrogate in the mention's format: digits take their places, those of a longer number follow; a
+    name keeps its title."""
     digits = F.regexp_replace(made, "[^0-9]", "")
 
     def place(c: Column, i: Column) -> Column:
         before = F.length(F.regexp_replace(F.substr(mention, F.lit(1), i + 1), "[^0-9]", ""))
         return F.when(c.rlike("[0-9]"), F.substr(digits, before, F.lit(1))).otherwise(c)
 
-    number = F.array_join(F.transform(F.split(mention, ""), place), "")
+    places = F.length(F.regexp_replace(mention, "[^0-9]", ""))
+    number = F.concat(F.array_join(F.transform(F.split(mention, ""), place), ""), F.substr(digits, places + 1))
     title = F.regexp_extract(mention, rf"^(?:{_TITLES})\.? ", 0)
     return (F.when(kind.isin("phone", "card", "ssn"), number)
             .when(kind == "name", F.concat(title, made))
