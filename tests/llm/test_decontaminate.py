@@ -68,3 +68,9 @@ def test_dropping_keeps_columns(spark, docs):
     kept = D.drop_contaminated(table, items_table(spark))
     assert kept.columns == table.columns
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == [2, 3, None]
+
+
+def test_dropping_goes_by_id_and_text(spark, docs):
+    rows = [(None, ALPHA), (None, "clean"), (None, None), (5, ALPHA), (5, "clean too"), (5, ALPHA)]
+    kept = D.drop_contaminated(docs(rows), items_table(spark)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == sorted([(None, "clean"), (None, None), (5, "clean too")], key=repr)

@@ -139,3 +139,12 @@ def test_one_document_of_each_group_stays(docs):
     assert kept.columns == table.columns
     component = {i: (n, c) for i, n, c in brute(rows)}
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, (n, c) in component.items() if n == 0 or i == c)
+
+
+def test_dropping_goes_by_id_and_text(docs):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(60)) for c in "abc")
+    rows = [(3, one), (5, one + " more"), (5, two), (5, two), (None, one + " less"), (None, three), (None, three + " x"), (None, ""), (None, None), (6, ""), (3, three + " y z")]
+    kept = sorted(((r.doc_id, r.text) for r in N.drop_near_copies(docs(rows)).collect()), key=repr)
+    assert kept == sorted([(3, one), (5, two), (3, three + " y z"), (None, ""), (None, None), (6, "")], key=repr)
+    alone = N.drop_near_copies(docs([(None, three), (None, three + " x"), (None, three)])).collect()
+    assert len(alone) == 1

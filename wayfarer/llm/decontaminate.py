@@ -128,6 +128,16 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
     named; words that only an item without an id contains are hit, but it is not named. Rows that repeat an id and a text give the same result each; rows that share only an id
     are judged by their own text. Empty tables give no rows, or no hits. Other columns are not read.
     """
+    out = _judged(docs, items, window, id_col, text_col, item_id, item_text)
+    return out.select(F.col("_id").alias(id_col), "n_words", F.coalesce("_n_hit", F.lit(0)).cast("long").alias("n_hit"),
+                      F.coalesce(F.size("_items"), F.lit(0)).cast("long").alias("n_items"),
+                      F.sha2(F.coalesce(F.array_join("_items", ","), F.lit("")), 256).alias("items_sha256"),
+                      F.col("_n_hit").isNotNull().alias("contaminated"))
+
+
+def _judged(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+            item_id: str = "item_id", item_text: str = "text") -> DataFrame:
+    """(_id, _key, n_words, _n_hit, _items): one row per row of ``docs``; _n_hit is NULL without a hit."""
     windows = item_windows(items, window, item_id, item_text)
     index = build_index(docs, windows, id_col, text_col)
     hits = stored(confirm(docs, find_windows(index, windows), windows, id_col, text_col)
@@ -144,19 +154,15 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_co
     flagged = flagged.select(F.col("_id").alias("_fid"), F.col("_key").alias("_fkey"), "_n_hit",
                              F.coalesce("_items", F.array().cast("array<string>")).alias("_items"))
     rows = index.where(F.col("_term") == _END).select("_id", "_key", F.col("_pos").cast("long").alias("n_words"))
-    out = rows.join(flagged, F.col("_id").eqNullSafe(F.col("_fid")) & (F.col("_key") == F.col("_fkey")), "left")
-    return out.select(F.col("_id").alias(id_col), "n_words", F.coalesce("_n_hit", F.lit(0)).cast("long").alias("n_hit"),
-                      F.coalesce(F.size("_items"), F.lit(0)).cast("long").alias("n_items"),
-                      F.sha2(F.coalesce(F.array_join("_items", ","), F.lit("")), 256).alias("items_sha256"),
-                      F.col("_n_hit").isNotNull().alias("contaminated"))
+    return rows.join(flagged, F.col("_id").eqNullSafe(F.col("_fid")) & (F.col("_key") == F.col("_fkey")), "left")
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       **options) -> DataFrame:
-    """``docs`` without the rows whose id is contaminated."""
-    bad = decontaminate(docs, items, id_col=id_col, text_col=text_col, **options).where("contaminated")
-    bad = bad.select(F.col(id_col).alias("_bad")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad"]), "left_anti")
+    """``docs`` without the contaminated rows: those that have a contaminated row's id and text."""
+    bad = _judged(docs, items, id_col=id_col, text_col=text_col, **options).where(F.col("_n_hit").isNotNull())
+    bad = bad.select(F.col("_id").alias("_bad"), F.col("_key").alias("_badkey")).distinct()
+    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad"]) & (F.xxhash64(docs[text_col]) == bad["_badkey"]), "left_anti")
 
 
 # DuckDB: windows as joined text, matched by a plain equality join of all word runs.

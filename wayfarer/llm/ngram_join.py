@@ -96,18 +96,18 @@ def long_prefix(n: int) -> int:
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(_id, _n, _set): size and 128-bit digest of each row's set."""
+    """(_id, _key, _n, _set): hash of the text, size and 128-bit digest of each row's set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             sets = [(len(s), _digest(s)) for a, b in _slices(texts) for s in shingle_sets(texts[a:b], size)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array([n for n, _ in sets], pa.int64()), pa.array([d for _, d in sets], pa.binary())],
-                names=["_id", "_n", "_set"])
+                [batch.column("_id"), batch.column("_key"), pa.array([n for n, _ in sets], pa.int64()),
+                 pa.array([d for _, d in sets], pa.binary())], names=["_id", "_key", "_n", "_set"])
 
-    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    return rows.mapInArrow(run, f"_id {rows.schema['_id'].dataType.simpleString()}, _n long, _set binary")
+    rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_key"), F.col(text_col).alias("_text"))
+    return rows.mapInArrow(run, f"_id {rows.schema['_id'].dataType.simpleString()}, _key long, _n long, _set binary")
 
 
 _PACK = "bucket int, batch string, sets binary, lengths binary, known binary, prints binary, shared binary"
@@ -360,8 +360,17 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     without any id has a NULL component_id. Rows that repeat an id are told apart by their texts. An
     empty table gives an empty result. Other columns are not read. Sets are compared by 64-bit hashes.
     """
+    out = _judged(docs, id_col, text_col, size)
+    return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"),
+                      F.when(F.col("_n") == 0, F.col("_id")).otherwise(F.col("_component")).alias("component_id"))
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str, size: int = SHINGLE) -> DataFrame:
+    """(_id, _key, _n, _component, _first): one row per row of ``docs``. _first is the (id, hash of the text)
+    of the component's row that stands for it: the smallest, rows without an id last. NULL for an empty set."""
     rows = stored(describe(docs, id_col, text_col, size), "shingle-sets")
-    classes = stored(rows.where("_n > 0").groupBy("_set").agg(F.min("_id").alias("_rep"), F.max("_n").alias("_n")), "set-classes")
+    first = F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_key")).alias("_first")
+    classes = stored(rows.where("_n > 0").groupBy("_set").agg(F.min("_id").alias("_rep"), F.max("_n").alias("_n"), first), "set-classes")
     total = classes.agg(F.sum("_n")).first()[0] or 0
     buckets = max(1, -(-(total // 2) // BUCKET_SHINGLES))
     shared = shared_in_prefix(docs, text_col, size, buckets)
@@ -375,22 +384,26 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if not more.isEmpty():
         comps = components(prefix.select("_cls"), merged.unionByName(more))
     named = alive.join(comps, "_cls")
-    least = named.groupBy("_comp").agg(F.min("_rep").alias("_least"))
-    of_set = named.join(least, "_comp").select("_set", "_least")
-    ids = classes.join(of_set, "_set", "left").select("_set", F.coalesce("_least", "_rep").alias("_component"))
-    out = rows.join(ids, "_set", "left")
-    return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"),
-                      F.when(F.col("_n") == 0, F.col("_id")).otherwise(F.col("_component")).alias("component_id"))
+    least = named.groupBy("_comp").agg(F.min("_rep").alias("_least"), F.min("_first").alias("_head"))
+    of_set = named.join(least, "_comp").select("_set", "_least", "_head")
+    ids = classes.join(of_set, "_set", "left").select("_set", F.coalesce("_least", "_rep").alias("_component"),
+                                                      F.coalesce("_head", "_first").alias("_first"))
+    return rows.join(ids, "_set", "left").select("_id", "_key", "_n", "_component", "_first")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each group: the one whose id names the component. Documents without
-    shingles or without an id stay. If several rows repeat a kept id, one of them stays."""
-    found = ngram_join(docs, id_col, text_col)
-    gone = found.where((F.col("n_shingles") > 0) & (F.col(id_col) != F.col("component_id"))).select(F.col(id_col).alias("_gone")).distinct()
-    kept = docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
-    repeated = found.where(F.col("n_shingles") > 0).groupBy(id_col).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    if repeated.where(F.col(id_col).isNotNull()).isEmpty():
+    """``docs`` with one row of each group: the one of the smallest id, and of rows that share it the one of the
+    smallest text hash; a row without an id only where no other has one. Documents without shingles stay.
+    Rows are known by their id and text: of rows that repeat both, one stays."""
+    found = stored(_judged(docs, id_col, text_col).where("_n > 0"), "near-copies")
+    head = F.col("_id").eqNullSafe(F.col("_first")["_id"]) & (F.col("_key") == F.col("_first")["_key"])
+    gone = found.where(~head).select(F.col("_id").alias("_gone"), F.col("_key").alias("_gonekey")).distinct()
+    key = F.xxhash64(docs[text_col])
+    kept = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]) & (key == gone["_gonekey"]), "left_anti")
+    twice = stored(found.where(head).groupBy("_id", "_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+                   .select(F.col("_id").alias("_twice"), F.col("_key").alias("_twicekey")), "repeated-rows")
+    if twice.isEmpty():
         return kept
-    alone = F.col(id_col).isNull()
-    return kept.where(~alone).dropDuplicates([id_col]).unionByName(kept.where(alone))
+    again = kept[id_col].eqNullSafe(twice["_twice"]) & (F.xxhash64(kept[text_col]) == twice["_twicekey"])
+    once = kept.join(twice, again, "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(twice, again, "left_anti").unionByName(once)
