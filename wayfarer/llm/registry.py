@@ -12,12 +12,14 @@ from wayfarer.llm import (
     license_scan,
     mixing,
     ngram_join,
+    packing,
     periodic_runs,
     pii_surrogates,
     quality_classifier,
     secret_scan,
     token_binary,
     url_filter,
+    whitening,
 )
 from wayfarer.llm.common import read
 
@@ -64,13 +66,22 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(read(spark, sf_dir, "pages"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read(spark, sf_dir, "documents"))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(periodic_runs.periodic_runs(read(spark, sf_dir, "documents"), periodic_runs.said_again))
 
 
 def queries() -> dict[str, Query]:
     found = (op1_exact_dedup, op2_license_scan, op3_pii_surrogates, op4_mixing, op5_token_binary, op6_quality_classifier,
-             op7_ngram_join, op8_secret_scan, op9_decontaminate, op10_url_filter, op13_periodic_runs)
+             op7_ngram_join, op8_secret_scan, op9_decontaminate, op10_url_filter, op11_packing, op12_embedding_whitening,
+             op13_periodic_runs)
     return {f.__name__: f for f in found}
 
 
