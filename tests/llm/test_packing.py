@@ -35,11 +35,10 @@ def test_documents_are_cut_into_few_pieces_with_little_waste():
     for k, n in enumerate(lengths):
         for x in P.cut_document(n):
             n_pieces += 1
-            full = bins.add(P.Piece(str(k), k, 0, n, np.zeros(x, "u4")))
+            full = bins.add(str(k), k, 0, n, np.zeros(x, "u4"))
             if full:
-                filled = sum(len(p.ids) for p in full)
-                assert len(full) == 2048 // x and filled <= 2048
-                waste, room = waste + 2048 - filled, room + 2048
+                assert len(full.pieces) == 2048 // x and full.used <= 2048
+                waste, room = waste + 2048 - full.used, room + 2048
     assert waste / room < 0.004 and n_pieces / len(lengths) < 4
 
 
@@ -48,12 +47,14 @@ def test_end_to_end_joins_cut_documents_and_ends_at_powers_of_two():
     pieces = [P.Piece(str(k), k, 10 * j, 50, np.arange(10 * j, 10 * j + 10).astype("u4")) for k in range(30) for j in range(5)]
     rng.shuffle(pieces)
     made = P.end_to_end(pieces, 64)
-    sizes = [sum(len(p.ids) for p in s) for s in made]
-    assert sizes == [64] * 23 + [16, 8, 4] and sum(map(len, made)) < 30 + 27
+    assert [b.used for b in made] == [64] * 23 + [16, 8, 4] and sum(len(b.pieces) for b in made) < 30 + 27
     got = defaultdict(list)
-    for p in (p for s in made for p in s):
-        assert p.ids.tolist() == list(range(p.start, p.start + len(p.ids)))
-        got[p.row] += p.ids.tolist()
+    for b in made:
+        at = 0
+        for _, row, start, length, _ in b.pieces:
+            assert b.ids[at: at + length].tolist() == list(range(start, start + length))
+            got[row] += range(start, start + length)
+            at += length
     assert all(sorted(x) == list(range(50)) for x in got.values()) and len(got) == 30
     assert P.end_to_end([], 64) == []
 
