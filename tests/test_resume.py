@@ -48,3 +48,32 @@ def test_stored_tables_must_be_as_declared(spark, tmp_path):
     spark.createDataFrame([("1", "n")], "poi_id string, name string").write.parquet(path)
     with pytest.raises(ValueError, match="declared"):
         read_declared(spark, path, "dwd_poi_info")
+
+
+def test_an_overwritten_raw_file_is_not_taken_for_the_old_one(spark, tmp_path):
+    import shutil
+
+    from wayfarer.sources.csv_load import POI_CSV_COLUMNS, read_poi_csv, write_source_csv
+    raw, path = tmp_path / "raw", str(tmp_path / "w")
+    write_source_csv(raw_pois(spark, SF_SMALL).coalesce(1), str(raw), POI_CSV_COLUMNS)
+    file = next(f for f in raw.iterdir() if f.suffix == ".csv")
+
+    def redone():
+        timings = {}
+        run_pipeline(spark, read_poi_csv(spark, str(raw)), raw_trips(spark, SF_SMALL), path, P, timings=timings, resume=True,
+                     only={"ods_poi_dim", "dwd_poi_info"})
+        return set(timings)
+
+    assert redone() == {"ods_poi_dim", "dwd_poi_info"} and redone() == set()
+    lines = file.read_text().splitlines(keepends=True)
+    shutil.copy(file, tmp_path / "copy.csv")
+    file.write_text("".join(lines[:-1]))  # under its own name
+    (raw / f".{file.name}.crc").unlink(missing_ok=True)
+    assert redone() == {"ods_poi_dim", "dwd_poi_info"}
+    assert spark.read.parquet(table_paths(path)["ods_poi_dim"]).count() == len(lines) - 2
+
+
+def test_rows_that_come_from_no_file_are_not_known_again(spark):
+    from wayfarer.plans.pipeline import raw_identity
+    assert "unknown" in raw_identity(spark.createDataFrame([("1",)], "poi_id string"))
+    assert raw_identity(None) == []

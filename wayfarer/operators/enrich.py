@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfarer.operators.clean import dedupe
+from wayfarer.operators.reuse import broadcast_within
+
+HINT_BYTES = 64 << 20  # largest side that gets a broadcast hint
 
 
 class DuplicateKeyError(ValueError):
@@ -35,7 +38,7 @@ def unique_by_key(dim: DataFrame, keys: Sequence[str], policy: str = "first") ->
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left", broadcast: str = "auto",
-             unique_key: str = "first") -> DataFrame:
+             unique_key: str = "first", hint_bytes: int = HINT_BYTES) -> DataFrame:
     """Join a fact table to a dimension on ``on``.
 
     ``broadcast``:
@@ -43,12 +46,17 @@ def join_dim(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "lef
         ``spark.sql.autoBroadcastJoinThreshold`` bytes and AQE switches to a broadcast at run time
         when the materialised side is that small; otherwise a sort-merge join whose hot keys AQE
         splits (``spark.sql.adaptive.skewJoin``). Nothing runs while the plan is built.
+      * ``hint`` - a broadcast hint, whatever the threshold, while the optimiser expects ``dim`` to have at
+        most ``hint_bytes``; beyond that as ``auto``. Nothing runs here either: a stored table's size is
+        known from its files.
       * ``never`` - force a shuffle (sort-merge) join.
     """
     on = list(on)
     dim = unique_by_key(dim, on, unique_key)
     if broadcast == "never":
         dim = dim.hint("shuffle_merge")
+    elif broadcast == "hint":
+        dim = broadcast_within(dim, hint_bytes)
     elif broadcast != "auto":
         raise ValueError(f"unknown broadcast mode {broadcast!r}")
     return fact.join(dim, on=on, how=how)

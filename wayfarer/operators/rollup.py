@@ -94,3 +94,31 @@ def kind_rollup(df: DataFrame, keys: Sequence[str], *, maps: Mapping[str, str] |
     level2 += [F.min(f"_min{i}").alias(out) for i, out in enumerate(mins)]
     level2 += [F.max(f"_max{i}").alias(out) for i, out in enumerate(maxs)]
     return level1.groupBy(*keys).agg(*level2)
+
+
+def fold_parts(parts: DataFrame, keys: Sequence[str], *, maps: Sequence[str], sums: Sequence[str] = (),
+               mins: Sequence[str] = (), maxs: Sequence[str] = (), distinct: Mapping[str, str] | None = None) -> DataFrame:
+    """Roll-ups of disjoint parts of each group -> one row per ``keys``: maps are summed key by key, ``sums`` added,
+    ``mins`` and ``maxs`` taken; ``distinct`` {out: map column} counts the keys of a map summed likewise.
+
+    Entries are counted per (keys, kind, key) before they meet, so a group of many parts is spread."""
+    keys, kinds = list(keys), [*maps, *dict(distinct or {}).values()]
+    measures = [*sums, *mins, *maxs]
+    none = [F.lit(None).cast(parts.schema[c].dataType).alias(c) for c in measures]
+    own = F.array(F.struct(F.lit(-1).alias("kind"), F.lit(None).cast("string").alias("key"), F.lit(None).cast("bigint").alias("_n"),
+                           *[F.col(c) for c in measures]))
+
+    def entries(k: int, c: str) -> Column:
+        return F.coalesce(F.transform(F.map_entries(F.col(c).cast("map<string,bigint>")), lambda e: F.struct(
+            F.lit(k).alias("kind"), e["key"].alias("key"), e["value"].alias("_n"), *none)), F.array())
+
+    rows = parts.select(*keys, F.inline(F.concat(own, *[entries(k, c) for k, c in enumerate(kinds)])))
+    level1 = rows.groupBy(*keys, "kind", "key").agg(
+        F.sum("_n").alias("_n"), *[F.sum(c).alias(c) for c in sums], *[F.min(c).alias(c) for c in mins],
+        *[F.max(c).alias(c) for c in maxs])
+    kind = F.col("kind")
+    folded = [F.map_from_entries(F.collect_list(F.when(kind == k, F.struct(F.col("key"), F.col("_n").alias("value"))))).alias(c)
+              for k, c in enumerate(maps)]
+    folded += [F.count(F.when(kind == len(maps) + k, F.lit(1))).alias(out) for k, out in enumerate(distinct or {})]
+    folded += [F.sum(c).alias(c) for c in sums] + [F.min(c).alias(c) for c in mins] + [F.max(c).alias(c) for c in maxs]
+    return level1.groupBy(*keys).agg(*folded)

@@ -6,6 +6,9 @@ raw (ODS) -> clean (DWD) -> rollups per user-month / attraction-quarter / city-q
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -25,8 +28,11 @@ from wayfarer.operators.clean import (
 )
 from wayfarer.operators.enrich import join_dim, unique_by_key
 from wayfarer.operators.growth import period_over_period
+from wayfarer.operators.ledger import Tap, no_tap
 from wayfarer.operators.ranking import top_n_per_group
-from wayfarer.operators.rollup import kind_rollup, map_entry, null_key_expr
+from wayfarer.operators.regions import LEVELS, hierarchy_rollup, region_dim, share_of_parent, with_regions
+from wayfarer.operators.reuse import broadcast_within, persisted
+from wayfarer.operators.rollup import fold_parts, kind_rollup, map_entry, null_key_expr
 from wayfarer.plans.params import REFERENCE_PARAMS, Params
 from wayfarer.schemas import (
     ADS_TOP_ATTRACTIONS,
@@ -55,15 +61,16 @@ def load_ods(spark: SparkSession, poi_csv: str, trip_csv: str) -> tuple[DataFram
 
 
 # ---------------------------------------------------------------- DWD
-def clean_poi(ods_poi: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
+def clean_poi(ods_poi: DataFrame, params: Params = REFERENCE_PARAMS, tap: Tap = no_tap) -> DataFrame:
     """POI dimension: drop rows without id/name/city, blank or missing label -> default label,
     label split into tags, category from the ordered keyword rules on the label text, and
     one row per POI id (``params.unique_poi``: the smallest by name, city, category, label).
 
     Enforcing the key here, once, lets every roll-up join the dimension without re-checking
-    it; a repeated id would otherwise multiply the visits it is joined to."""
-    df = ods_poi.select("poi_id", "name_zh", "city_zh", "label_zh")
-    df = drop_null_keys(df, ["poi_id", "name_zh", "city_zh"])
+    it; a repeated id would otherwise multiply the visits it is joined to. ``tap`` counts the rows
+    read, those with keys and the unique ones."""
+    df = tap(ods_poi.select("poi_id", "name_zh", "city_zh", "label_zh"), "read")
+    df = tap(drop_null_keys(df, ["poi_id", "name_zh", "city_zh"]), "with_keys")
     df = blanks_to_null(df, ["label_zh"])
     df = fill_default(df, params.label_default, ["label_zh"])
     df = df.select(
@@ -74,26 +81,28 @@ def clean_poi(ods_poi: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFram
         classify("label_zh", params.rules).alias("category"),
     )
     if params.unique_poi == "first":
-        return dedupe(df, ["poi_id"], order=["name", "city", "category", "label"]).select(*_names(DWD_POI))
-    return unique_by_key(df, ["poi_id"], params.unique_poi)
+        df = dedupe(df, ["poi_id"], order=["name", "city", "category", "label"]).select(*_names(DWD_POI))
+    else:
+        df = unique_by_key(df, ["poi_id"], params.unique_poi)
+    return tap(df, "unique")
 
 
-def parse_trips(ods_trip: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
+def parse_trips(ods_trip: DataFrame, params: Params = REFERENCE_PARAMS, tap: Tap = no_tap) -> DataFrame:
     """Trips with key fields present, companions filled and the departure date parsed."""
-    df = ods_trip.select("blog_id", "departure_date", "travel_partners", "visit_sequence")
-    df = drop_null_keys(df, ["blog_id", "departure_date", "visit_sequence"])
+    df = tap(ods_trip.select("blog_id", "departure_date", "travel_partners", "visit_sequence"), "read")
+    df = tap(drop_null_keys(df, ["blog_id", "departure_date", "visit_sequence"]), "with_keys")
     df = fill_default(df, params.partner_default, ["travel_partners"])
     return with_parsed_date(df, "departure_date", "travel_date", params.date_formats,
                             year_col="travel_year", month_col="travel_month")
 
 
-def dedupe_trips(parsed: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
+def dedupe_trips(parsed: DataFrame, params: Params = REFERENCE_PARAMS, tap: Tap = no_tap) -> DataFrame:
     """Year range, then one trip per (user, parsed date, raw sequence).
 
     The year is a function of the parsed date, a de-dup key, so filtering first yields the same
     rows with less data shuffled. Survivor: smallest (date text, companions)."""
-    df = year_range(parsed, "travel_year", params.year_min, params.year_max)
-    return dedupe(df, ["blog_id", "travel_date", "visit_sequence"], order=["departure_date", "travel_partners"])
+    df = tap(year_range(parsed, "travel_year", params.year_min, params.year_max), "in_years")
+    return tap(dedupe(df, ["blog_id", "travel_date", "visit_sequence"], order=["departure_date", "travel_partners"]), "unique")
 
 
 def explode_visits(trips: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
@@ -103,15 +112,16 @@ def explode_visits(trips: DataFrame, params: Params = REFERENCE_PARAMS) -> DataF
     return df.select(*_names(DWD_VISIT))
 
 
-def clean_trips(ods_trip: DataFrame, params: Params = REFERENCE_PARAMS, lay_out: bool = False) -> DataFrame:
+def clean_trips(ods_trip: DataFrame, params: Params = REFERENCE_PARAMS, lay_out: bool = False, tap: Tap = no_tap) -> DataFrame:
     """Visit fact table (one row per trip and visited POI).
 
     ``lay_out`` rebalances the trips on the table's partition columns before they are exploded, so the
-    layout of the write moves trips and not their visits."""
-    trips = dedupe_trips(parse_trips(ods_trip, params), params)
+    layout of the write moves trips and not their visits. ``tap`` counts the trips read, with keys, in the
+    range of years (unparsed dates are in none) and unique, and their visits."""
+    trips = dedupe_trips(parse_trips(ods_trip, params, tap), params, tap)
     if lay_out:
         trips = trips.hint("rebalance", "travel_year", "travel_month")
-    return explode_visits(trips, params)
+    return tap(explode_visits(trips, params), "visits", filters=False)
 
 
 # ---------------------------------------------------------------- DWS
@@ -132,23 +142,62 @@ def user_month(visits: DataFrame, dwd_poi: DataFrame, params: Params = REFERENCE
     (at most all visits over that number, which bounds the broadcast) take the roll-up's own two
     exchanges instead, counted per (kind, key) over all tasks before they meet."""
     dim = poi_dim(dwd_poi, params).select("poi_id", "city", "category")
-    hot = visits.groupBy(*USER_MONTH).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > params.hot_user_month_visits)
-    hot = F.broadcast(hot.select(*USER_MONTH))
+    hot = F.broadcast(hot_user_months(visits, params).select(*USER_MONTH))
+    usual = _months(visits.join(hot, USER_MONTH, "left_anti"), dim, params, one_hash=True)
+    return usual.unionByName(_months(visits.join(hot, USER_MONTH, "left_semi"), dim, params))
+
+
+MONTH_MAPS = {"city_visit_map": "city", "category_visit_map": "category", "partner_visit_map": "travel_partners"}
+MONTH_DATES = {"first_trip_date": "travel_date"}, {"last_trip_date": "travel_date"}
+
 
-    def rolled(part: DataFrame, one_hash: bool) -> DataFrame:
-        j = join_dim(part, dim, ["poi_id"], how="left", broadcast=params.broadcast_poi, unique_key="allow")
-        return kind_rollup(
-            j.repartition(*USER_MONTH) if one_hash else j, USER_MONTH,
-            maps={"city_visit_map": "city", "category_visit_map": "category",
-                  "partner_visit_map": "travel_partners"},
-            distinct_counts={"trip_total_cnt": "trip_id"},
-            row_count="total_spot_cnt",
-            mins={"first_trip_date": "travel_date"}, maxs={"last_trip_date": "travel_date"},
-            null_key=params.null_map_key,
-        ).select(*_names(DWS_USER_MONTH))
+def _months(visits: DataFrame, dim: DataFrame, params: Params, one_hash: bool = False) -> DataFrame:
+    """The roll-up of ``user_month``; with ``one_hash`` both levels reuse one exchange of the visits."""
+    j = join_dim(visits, dim, ["poi_id"], how="left", broadcast=params.broadcast_poi, unique_key="allow")
+    first, last = MONTH_DATES
+    return kind_rollup(
+        j.repartition(*USER_MONTH) if one_hash else j, USER_MONTH, maps=MONTH_MAPS,
+        distinct_counts={"trip_total_cnt": "trip_id"}, row_count="total_spot_cnt", mins=first, maxs=last,
+        null_key=params.null_map_key,
+    ).select(*_names(DWS_USER_MONTH))
 
-    usual = rolled(visits.join(hot, USER_MONTH, "left_anti"), True)
-    return usual.unionByName(rolled(visits.join(hot, USER_MONTH, "left_semi"), False))
+
+def hot_user_months(visits: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
+    """User-months of more than ``params.hot_user_month_visits`` visits, with ``_salts``, the visits in units of that."""
+    counted = visits.groupBy(*USER_MONTH).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > params.hot_user_month_visits)
+    return counted.select(*USER_MONTH, F.ceil(F.col("_n") / params.hot_user_month_visits).cast("bigint").alias("_salts"))
+
+
+@contextmanager
+def user_month_reused(visits: DataFrame, dwd_poi: DataFrame, params: Params = REFERENCE_PARAMS,
+                      tap: Tap = no_tap) -> Iterator[DataFrame]:
+    """``user_month`` for a write inside the block; the rows of the visits are scanned once.
+
+    The hot user-months are found first, by a job that reads the visits' keys alone, and kept. With none, as
+    usual, every user-month is hashed once and rolled up. Else the visits are hashed by user-month and
+    salt, 0 but for the hot ones, whose visits are dealt to as many salts as they exceed the bound times.
+    That roll-up is kept: compact rows, of which the usual ones are the result as they are, and those
+    of the hot user-months are folded over their salts. What is kept is released when the block ends."""
+    dim = poi_dim(dwd_poi, params).select("poi_id", "city", "category")
+    with persisted(hot_user_months(visits, params)) as hot:
+        if not hot.count():
+            yield _months(tap(visits, "visits"), dim, params, one_hash=True)
+            return
+        hot = broadcast_within(hot, params.hint_bytes)
+        dealt = F.pmod(F.xxhash64("trip_id", "poi_id", "travel_partners"), F.col("_salts")) + 1
+        salted = tap(visits, "visits").join(hot, USER_MONTH, "left").withColumns({
+            "_salt": F.coalesce(dealt, F.lit(0)), "_trip": F.when(F.col("_salts").isNotNull(), F.col("trip_id")).otherwise("")})
+        j = join_dim(salted, dim, ["poi_id"], how="left", broadcast=params.broadcast_poi, unique_key="allow")
+        first, last = MONTH_DATES
+        parts = kind_rollup(
+            j.repartition(*USER_MONTH, "_salt"), [*USER_MONTH, "_salt"], maps={**MONTH_MAPS, "_trips": "_trip"},
+            distinct_counts={"trip_total_cnt": "trip_id"}, row_count="total_spot_cnt", mins=first, maxs=last,
+            null_key=params.null_map_key)
+        with persisted(parts) as kept:
+            usual = kept.where(F.col("_salt") == 0).select(*_names(DWS_USER_MONTH))
+            folded = fold_parts(kept.where(F.col("_salt") > 0), USER_MONTH, maps=list(MONTH_MAPS), sums=["total_spot_cnt"],
+                                mins=list(first), maxs=list(last), distinct={"trip_total_cnt": "_trips"})
+            yield usual.unionByName(folded.select(*_names(DWS_USER_MONTH)))
 
 
 def quarterly_visits(visits: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
@@ -219,8 +268,24 @@ def city_quarter_from_attractions(attraction_quarter_df: DataFrame, params: Para
     return out.select(*_names(DWS_CITY_QUARTER))
 
 
+def region_quarter(city_quarter_df: DataFrame, regions: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
+    """Per quarter and level of the place hierarchy (city, province, region, total): visits, attractions, cities,
+    growth against the previous quarter and the share of the next wider level's visits. ``regions``
+    maps (city, province, region); other cities count as ``unmapped``.
+
+    One aggregate over the city table, which has a row for each city and quarter, whatever the visits."""
+    cities = city_quarter_df.select("city", *PERIOD_Q, "visit_trip_cnt", "unique_attraction_cnt")
+    placed = with_regions(cities, region_dim(regions), params.broadcast_poi)
+    out = hierarchy_rollup(placed, PERIOD_Q, {
+        "visit_trip_cnt": F.sum("visit_trip_cnt"), "unique_attraction_cnt": F.sum("unique_attraction_cnt"),
+        "city_cnt": F.count(F.lit(1))})
+    out = period_over_period(out, ["level", *LEVELS], "visit_trip_cnt", PERIOD_Q, 4, params.rising_threshold,
+                             params.growth_gap, params.rising_flags)
+    return share_of_parent(out, PERIOD_Q, "visit_trip_cnt", "share_of_parent")
+
+
 # ---------------------------------------------------------------- ADS
-def user_totals(user_month_df: DataFrame) -> DataFrame:
+def user_totals(user_month_df: DataFrame, by_user: bool = False) -> DataFrame:
     """Per user: totals, last trip, active years and the three maps summed over all months.
 
     The entries of each map (and one "year" row per user-month) become rows tagged with their
@@ -229,8 +294,9 @@ def user_totals(user_month_df: DataFrame) -> DataFrame:
 
     The input holds at most one row per user and month, so however many visits a user has, the
     user's rows are bounded by the number of months: the table is read once and hashed by user
-    once, and the expansion, both aggregations and the collect then run without another shuffle."""
-    hashed = user_month_df.repartition("blog_id")
+    once, and the expansion, both aggregations and the collect then run without another shuffle.
+    ``by_user`` says that it is bucketed by user already: then nothing is shuffled at all."""
+    hashed = user_month_df if by_user else user_month_df.repartition("blog_id")
     none_l, none_d = F.lit(None).cast("bigint"), F.lit(None).cast("date")
 
     def entries(kind: int, map_col: str):
@@ -277,9 +343,9 @@ def user_level(total_trips: str, active_years: str, params: Params = REFERENCE_P
     return F.when(avg >= params.high_freq, high).when(avg >= params.mid_freq, mid).otherwise(low)
 
 
-def user_portrait(user_month_df: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
+def user_portrait(user_month_df: DataFrame, params: Params = REFERENCE_PARAMS, by_user: bool = False) -> DataFrame:
     """Per user: totals, favourite city / category / companions (all ties, sorted), level, status."""
-    t = user_totals(user_month_df)
+    t = user_totals(user_month_df, by_user)
     return t.select(
         "blog_id", "total_trips", "total_spots",
         top_keys("city_total_map").alias("favorite_city"),
@@ -290,10 +356,15 @@ def user_portrait(user_month_df: DataFrame, params: Params = REFERENCE_PARAMS) -
     ).select(*_names(ADS_USER_PORTRAIT))
 
 
+def _ranked_year(df: DataFrame, params: Params) -> DataFrame:
+    return df if params.ranking_year is None else df.filter(F.col("travel_year") == params.ranking_year)
+
+
 def top_attractions(attraction_quarter_df: DataFrame, params: Params = REFERENCE_PARAMS) -> DataFrame:
-    """Top-N attractions per quarter of the ranking year; ties broken by POI id (then name,
-    city, category); top companions read from the row's own map."""
-    df = attraction_quarter_df.filter(F.col("travel_year") == params.ranking_year)
+    """Top-N attractions per quarter of the ranking year (without one, of all that is given: see
+    ``read_latest_year``); ties broken by POI id (then name, city, category); top companions read from
+    the row's own map."""
+    df = _ranked_year(attraction_quarter_df, params)
     order = [F.col("visit_total_cnt").desc(), F.col("poi_id"), F.col("name"), F.col("city"), F.col("category")]
     ranked = top_n_per_group(df, PERIOD_Q, order, params.top_attractions)
     return ranked.select(
@@ -307,7 +378,7 @@ def top_attractions(attraction_quarter_df: DataFrame, params: Params = REFERENCE
 def top_cities(city_quarter_df: DataFrame, params: Params = REFERENCE_PARAMS, with_growth: bool = False) -> DataFrame:
     """Top-N cities per quarter of the ranking year, ties broken by city, ordered by quarter and rank;
     ``with_growth`` adds the growth rate behind the declared columns."""
-    df = city_quarter_df.filter(F.col("travel_year") == params.ranking_year)
+    df = _ranked_year(city_quarter_df, params)
     ranked = top_n_per_group(df, PERIOD_Q, [F.col("visit_trip_cnt").desc(), F.col("city")], params.top_cities)
     return ranked.select(
         period_label("travel_year", "travel_quarter").alias("year_quarter"),
@@ -319,7 +390,8 @@ def top_cities(city_quarter_df: DataFrame, params: Params = REFERENCE_PARAMS, wi
 
 __all__ = [
     "load_ods", "clean_poi", "parse_trips", "dedupe_trips", "explode_visits", "clean_trips", "poi_dim",
-    "user_month", "quarterly_visits", "attraction_quarter", "city_quarter", "city_quarter_from_attractions",
+    "user_month", "user_month_reused", "hot_user_months", "quarterly_visits", "attraction_quarter", "city_quarter", "city_quarter_from_attractions",
+    "region_quarter",
     "user_totals", "user_status",
     "user_level", "user_portrait", "top_attractions", "top_cities",
 ]

@@ -245,9 +245,68 @@ top_cities AS (
          visit_cnt_growth_rate
   FROM (SELECT *, row_number() OVER (PARTITION BY travel_year, travel_quarter ORDER BY visit_trip_cnt DESC, city) AS rk
         FROM city_quarter WHERE travel_year = {p.ranking_year})
-  WHERE rk <= {p.top_cities})"""
+  WHERE rk <= {p.top_cities}),
+cities_numbered AS (
+  SELECT city_zh AS city, TRY_CAST(string_split(city_zh, '#')[-1] AS INTEGER) AS n
+  FROM (SELECT DISTINCT city_zh FROM ods_poi WHERE city_zh IS NOT NULL)),
+city_map AS (
+  SELECT city, CASE WHEN n IS NULL THEN array_to_string(string_split(city, ' ')[1:2], ' ') ELSE 'P' || (n // 5) END AS province,
+         CASE WHEN n IS NULL THEN string_split(city, ' ')[1] ELSE 'R' || (n // 10) END AS region
+  FROM cities_numbered WHERE n IS NULL OR n % 7 <> 0
+  UNION ALL SELECT city, 'A0', 'unmapped' FROM cities_numbered WHERE n % 6 = 0 AND n % 7 <> 0
+  UNION ALL SELECT city, 'Z9', 'R9' FROM cities_numbered WHERE n % 11 = 0 AND n % 6 <> 0 AND n % 7 <> 0),
+city_placed AS (
+  SELECT q.travel_year, q.travel_quarter, q.city, q.visit_trip_cnt, q.unique_attraction_cnt,
+         coalesce(m.province, 'unmapped') AS province, coalesce(m.region, 'unmapped') AS region
+  FROM city_quarter q LEFT JOIN (
+    SELECT * FROM city_map QUALIFY row_number() OVER (PARTITION BY city ORDER BY province, region) = 1) m ON q.city = m.city),
+places AS (
+  SELECT travel_year, travel_quarter, 'total' AS level, NULL AS region, NULL AS province, NULL AS city, NULL AS wider,
+         sum(visit_trip_cnt) AS v, sum(unique_attraction_cnt) AS a, count(*) AS n FROM city_placed GROUP BY ALL
+  UNION ALL
+  SELECT travel_year, travel_quarter, 'region', region, NULL, NULL, 'total', sum(visit_trip_cnt), sum(unique_attraction_cnt), count(*)
+  FROM city_placed GROUP BY ALL
+  UNION ALL
+  SELECT travel_year, travel_quarter, 'province', region, province, NULL, 'region', sum(visit_trip_cnt), sum(unique_attraction_cnt), count(*)
+  FROM city_placed GROUP BY ALL
+  UNION ALL
+  SELECT travel_year, travel_quarter, 'city', region, province, city, 'province', sum(visit_trip_cnt), sum(unique_attraction_cnt), count(*)
+  FROM city_placed GROUP BY ALL),
+places_g AS (
+  SELECT p.*, p.v AS cur, w.v AS whole,
+         lag(p.v) OVER (PARTITION BY p.level, p.region, p.province, p.city ORDER BY p.travel_year, p.travel_quarter) AS prev
+  FROM places p LEFT JOIN places w ON w.travel_year = p.travel_year AND w.travel_quarter = p.travel_quarter AND w.level = p.wider
+    AND CASE p.level WHEN 'region' THEN true WHEN 'province' THEN w.region = p.region
+                     ELSE w.region = p.region AND w.province = p.province END),
+places_r AS (SELECT *, {growth} AS rate FROM places_g),
+tq AS (
+  SELECT *, len(string_split(visit_sequence, ';')) AS n_visits,
+         CAST(coalesce(try_strptime(departure_date, '%Y/%m/%d'), try_strptime(departure_date, '%Y-%m-%d'),
+                       try_strptime(departure_date, '%Y%m%d')) AS DATE) AS travel_date
+  FROM ods_trip)"""
 
 
+_PROFILE = """
+SELECT section, item, value, row_cnt, CAST(row_cnt AS DOUBLE) / (SELECT count(*) FROM ods_trip) AS share, low, high FROM (
+  SELECT 'rows' AS section, '' AS item, '' AS value, count(*) AS row_cnt, CAST(NULL AS DOUBLE) AS low, CAST(NULL AS DOUBLE) AS high FROM tq
+  UNION ALL
+  SELECT 'column', c, CASE WHEN v IS NULL THEN 'null' WHEN trim(v, ' ') = '' THEN 'blank' ELSE 'value' END, count(*), NULL, NULL
+  FROM (SELECT unnest(['blog_id', 'departure_date', 'travel_partners', 'visit_sequence']) AS c,
+               unnest([blog_id, departure_date, travel_partners, visit_sequence]) AS v FROM tq) GROUP BY ALL
+  UNION ALL
+  SELECT 'parse', 'departure_date', CASE WHEN departure_date IS NULL THEN 'absent' WHEN travel_date IS NULL THEN 'failed' ELSE 'parsed' END,
+         count(*), NULL, NULL FROM tq GROUP BY ALL
+  UNION ALL
+  SELECT 'histogram', 'travel_year', CAST(year(travel_date) AS VARCHAR), count(*), NULL, NULL FROM tq GROUP BY ALL
+  UNION ALL
+  SELECT 'range', 'travel_date', '', count(travel_date), CAST(min(travel_date) - DATE '1970-01-01' AS DOUBLE),
+         CAST(max(travel_date) - DATE '1970-01-01' AS DOUBLE) FROM tq
+  UNION ALL
+  SELECT 'range', 'n_visits', '', count(n_visits), CAST(min(n_visits) AS DOUBLE), CAST(max(n_visits) AS DOUBLE) FROM tq
+  UNION ALL
+  SELECT 'duplicates', 'blog_id,travel_date,visit_sequence', 'surplus',
+         (SELECT count(*) FROM tq) - (SELECT count(*) FROM (SELECT DISTINCT blog_id, travel_date, visit_sequence FROM tq)), NULL, NULL)"""
+
 # final SELECT per registered query (column names equal the Spark side)
 _FINAL: dict[str, str] = {
     "csv_rename_load_poi": """
@@ -402,6 +461,74 @@ SELECT column_name, row_cnt, null_cnt, blank_cnt, min_value, max_value FROM (
   FROM ods_poi)""",
     "date_parse_failures": """
 SELECT departure_date, count(*) AS row_cnt FROM trip_parsed WHERE travel_date IS NULL GROUP BY departure_date""",
+    "user_month_persisted": "SELECT * FROM user_month",
+    "user_portrait_bucketed": "SELECT * FROM user_portrait",
+    "user_portrait_updated": "SELECT * FROM user_portrait",
+    "top_cities_latest": """
+SELECT CAST(travel_year AS VARCHAR) || 'Q' || CAST(travel_quarter AS VARCHAR) AS year_quarter, city, visit_trip_cnt, unique_attraction_cnt,
+       top_partner, rk AS rank, is_hot_rising
+FROM (SELECT *, row_number() OVER (PARTITION BY travel_quarter ORDER BY visit_trip_cnt DESC, city) AS rk FROM city_quarter
+      WHERE travel_year = (SELECT max(travel_year) FROM city_quarter)) WHERE rk <= {top_cities}""",
+    "region_quarter": """
+SELECT travel_year, travel_quarter, level, region, province, city, CAST(v AS BIGINT) AS visit_trip_cnt,
+       CAST(a AS BIGINT) AS unique_attraction_cnt, n AS city_cnt, rate AS visit_cnt_growth_rate,
+       CASE WHEN prev IS NULL THEN {none_flag} WHEN rate > {threshold} THEN {yes_flag} ELSE {no_flag} END AS is_hot_rising,
+       round(v / whole, 4) AS share_of_parent
+FROM places_r""",
+    "ddl_text_table": """
+SELECT poi_id, name_zh, name_en, city_zh, city_en, CAST(latitude AS VARCHAR) AS latitude,
+       CAST(longitude AS VARCHAR) AS longitude, label_zh, label_en FROM ods_poi""",
+    "staged_overwrite": """
+SELECT city, visit_trip_cnt, unique_attraction_cnt, partner_map, visit_cnt_growth_rate, is_hot_rising,
+       travel_year, travel_quarter FROM city_quarter""",
+    "step_counts": """
+SELECT u.step, u.point_no, u.point, u.row_cnt, u.dropped_cnt FROM (SELECT unnest([
+  {{'step': 'ods_poi_dim', 'point_no': 0, 'point': 'written', 'row_cnt': poi, 'dropped_cnt': NULL}},
+  {{'step': 'ods_user_travel_sequence', 'point_no': 0, 'point': 'written', 'row_cnt': trip, 'dropped_cnt': NULL}},
+  {{'step': 'dwd_poi_info', 'point_no': 0, 'point': 'read', 'row_cnt': poi, 'dropped_cnt': NULL}},
+  {{'step': 'dwd_poi_info', 'point_no': 1, 'point': 'with_keys', 'row_cnt': poi_keys, 'dropped_cnt': poi - poi_keys}},
+  {{'step': 'dwd_poi_info', 'point_no': 2, 'point': 'unique', 'row_cnt': poi_one, 'dropped_cnt': poi_keys - poi_one}},
+  {{'step': 'dwd_poi_info', 'point_no': 3, 'point': 'written', 'row_cnt': poi_one, 'dropped_cnt': NULL}},
+  {{'step': 'dwd_user_travel_sequence_info', 'point_no': 0, 'point': 'read', 'row_cnt': trip, 'dropped_cnt': NULL}},
+  {{'step': 'dwd_user_travel_sequence_info', 'point_no': 1, 'point': 'with_keys', 'row_cnt': trip_keys, 'dropped_cnt': trip - trip_keys}},
+  {{'step': 'dwd_user_travel_sequence_info', 'point_no': 2, 'point': 'in_years', 'row_cnt': trip_years, 'dropped_cnt': trip_keys - trip_years}},
+  {{'step': 'dwd_user_travel_sequence_info', 'point_no': 3, 'point': 'unique', 'row_cnt': trip_one, 'dropped_cnt': trip_years - trip_one}},
+  {{'step': 'dwd_user_travel_sequence_info', 'point_no': 4, 'point': 'visits', 'row_cnt': visit, 'dropped_cnt': NULL}},
+  {{'step': 'dwd_user_travel_sequence_info', 'point_no': 5, 'point': 'written', 'row_cnt': visit, 'dropped_cnt': NULL}},
+  {{'step': 'dws_user_travel_month', 'point_no': 0, 'point': 'visits', 'row_cnt': visit, 'dropped_cnt': NULL}},
+  {{'step': 'dws_user_travel_month', 'point_no': 1, 'point': 'written', 'row_cnt': months, 'dropped_cnt': NULL}},
+  {{'step': 'dws_attraction_travel_quarter', 'point_no': 0, 'point': 'visits', 'row_cnt': visit, 'dropped_cnt': NULL}},
+  {{'step': 'dws_attraction_travel_quarter', 'point_no': 1, 'point': 'written', 'row_cnt': attr, 'dropped_cnt': NULL}},
+  {{'step': 'dws_city_travel_quarter', 'point_no': 0, 'point': 'written', 'row_cnt': cities, 'dropped_cnt': NULL}},
+  {{'step': 'ads_user_portrait', 'point_no': 0, 'point': 'user_months', 'row_cnt': months, 'dropped_cnt': NULL}},
+  {{'step': 'ads_user_portrait', 'point_no': 1, 'point': 'written', 'row_cnt': users, 'dropped_cnt': NULL}},
+  {{'step': 'ads_top50_attractions_last_year', 'point_no': 0, 'point': 'in_year', 'row_cnt': attr_year, 'dropped_cnt': NULL}},
+  {{'step': 'ads_top50_attractions_last_year', 'point_no': 1, 'point': 'written', 'row_cnt': top_a, 'dropped_cnt': attr_year - top_a}},
+  {{'step': 'ads_city_top10_last_year', 'point_no': 0, 'point': 'in_year', 'row_cnt': city_year, 'dropped_cnt': NULL}},
+  {{'step': 'ads_city_top10_last_year', 'point_no': 1, 'point': 'written', 'row_cnt': top_c, 'dropped_cnt': city_year - top_c}}]) AS u FROM (
+  SELECT (SELECT count(*) FROM ods_poi) AS poi, (SELECT count(*) FROM poi_kept) AS poi_keys, (SELECT count(*) FROM dwd_poi) AS poi_one,
+         (SELECT count(*) FROM ods_trip) AS trip, (SELECT count(*) FROM trip_kept) AS trip_keys, (SELECT count(*) FROM trip_in_range) AS trip_years,
+         (SELECT count(*) FROM trip_unique) AS trip_one, (SELECT count(*) FROM visits) AS visit, (SELECT count(*) FROM user_month) AS months,
+         (SELECT count(*) FROM attraction_quarter) AS attr, (SELECT count(*) FROM city_quarter) AS cities,
+         (SELECT count(*) FROM attraction_quarter WHERE travel_year = {ranking_year}) AS attr_year,
+         (SELECT count(*) FROM city_quarter WHERE travel_year = {ranking_year}) AS city_year,
+         (SELECT count(*) FROM user_portrait) AS users, (SELECT count(*) FROM top_attractions) AS top_a, (SELECT count(*) FROM top_cities) AS top_c) AS c)""",
+    "quality_one_pass": _PROFILE,
+    "quality_merged": _PROFILE,
+    "classify_chinese_rules": """
+SELECT poi_id, label_zh, CASE
+    WHEN regexp_matches(label_zh, '乐园|游乐场|漂流|拓展|骑行|露营|欢乐谷|方特|主题体验') THEN '主题游乐'
+    WHEN regexp_matches(label_zh, '博物馆|美术馆|纪念馆|展览馆|科技馆|影视基地|故居|名人故居') THEN '文化场馆'
+    WHEN regexp_matches(label_zh, '古镇|古城|古建|古建筑|寺庙|石窟|园林|古村落|城墙|文物古迹|历史遗址|古战场|老城|文庙|道观') THEN '历史人文古迹'
+    WHEN regexp_matches(label_zh, '城市地标|地标建筑|城市标志建筑|高楼|摩天轮|网红打卡点') THEN '都市地标'
+    WHEN regexp_matches(label_zh, '公园|商圈|步行街|广场|绿地|城市公园') THEN '都市休闲'
+    WHEN regexp_matches(label_zh, '乡村|农庄|农家乐|采摘|田园|民俗村') THEN '乡村生态'
+    WHEN regexp_matches(label_zh, '山|河|江|湖|海|瀑布|草原|峡谷|海滩|海岛|红树林|温泉|生态|山水|风景|自然景观|湖泊|江河|溪流|湿地|森林|花海|赏花') THEN '自然风光'
+    WHEN label_zh = '无标签' THEN '未分类' ELSE '其他景点' END AS category
+FROM (SELECT poi_id, CASE WHEN CAST(poi_id AS BIGINT) % 19 = 0 THEN '无标签' ELSE
+        replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(name_en,
+          'small', '森林'), 'red', '公园'), 'blue', '湖泊'), 'hot', '温泉'), 'cold', '高楼'), 'ring', '博物馆'), 'gear', '古镇'), 'bolt', '乡村'),
+          'widget', '漂流'), 'gizmo', '商圈'), ' ', '') END AS label_zh FROM ods_poi)""",
     "duplicate_trips": """
 SELECT count(*) AS duplicate_groups, coalesce(CAST(sum(n - 1) AS BIGINT), 0) AS surplus_rows
 FROM (SELECT count(*) AS n FROM trip_parsed GROUP BY blog_id, travel_date, visit_sequence HAVING count(*) > 1)""",
@@ -412,5 +539,5 @@ def oracle_sql(params: Params = FIXTURE_PARAMS) -> dict[str, str]:
     ctes = _ctes(params)
     none_flag, yes_flag, no_flag = (_q(x) for x in params.rising_flags)
     fmt = dict(none_flag=none_flag, yes_flag=yes_flag, no_flag=no_flag, threshold=params.rising_threshold,
-               ranking_year=params.ranking_year)
+               ranking_year=params.ranking_year, top_cities=params.top_cities)
     return {name: f"WITH {ctes}\n{body.format(**fmt)}" for name, body in _FINAL.items()}

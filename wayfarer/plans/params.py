@@ -30,7 +30,8 @@ class Params:
     unique_poi: str = "first"          # "first" | "error" | "allow"
     # dimension join in the roll-ups (the clean table is already unique, so no re-check)
     poi_join_unique: str = "allow"     # "first" | "error" | "allow"
-    broadcast_poi: str = "auto"        # "auto" (Spark's size check in bytes) | "never"
+    broadcast_poi: str = "auto"        # "auto" (Spark's size check in bytes) | "hint" (a check of its own) | "never"
+    hint_bytes: int = 64 << 20         # largest side that gets a broadcast hint
     # rollups
     hot_user_month_visits: int = 1_000_000  # a user-month beyond this is rolled up over many tasks
     null_map_key: str = "drop"    # "drop" | "error" | <label>
@@ -46,7 +47,7 @@ class Params:
     user_status: tuple[str, str] = REFERENCE_USER_STATUS
     user_levels: tuple[str, str, str] = REFERENCE_USER_LEVELS
     # rankings
-    ranking_year: int = 2021
+    ranking_year: int | None = 2021    # None: the last year of the table
     top_attractions: int = 50
     top_cities: int = 10
 

@@ -15,21 +15,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, ByteType, DateType, DecimalType, IntegerType, MapType, ShortType
 
+from wayfarer.functions.classify import REFERENCE_RULES, classify
 from wayfarer.functions.dates import parse_date_multi
 from wayfarer.functions.maps import map_text, top_keys
 from wayfarer.operators.clean import drop_null_keys, explode_sequence
 from wayfarer.operators.enrich import join_dim
+from wayfarer.operators.ledger import StepLedger
+from wayfarer.operators.profile import Profile, merge_cells, profile_cells, profile_report
 from wayfarer.operators.quality import column_profile, conform_failures, duplicate_summary, parse_failures, value_histogram
 from wayfarer.operators.ranking import argmax_set
 from wayfarer.operators.rollup import count_map
-from wayfarer.plans import jobs
+from wayfarer.plans import jobs, portrait
 from wayfarer.plans.params import FIXTURE_PARAMS, Params
 from wayfarer.plans.pipeline import run_pipeline, table_paths
 from wayfarer.schemas import TABLES
 from wayfarer.session import scratch_path
 from wayfarer.sources.csv_load import POI_CSV_COLUMNS, TRIP_CSV_COLUMNS, read_poi_csv, read_trip_csv, write_source_csv
-from wayfarer.sources.tables import create_layer_databases, read_table, read_year, write_layer
-from wayfarer.sources.testdata import raw_pois, raw_trips
+from wayfarer.sources.ddl import create_declared, load_declared
+from wayfarer.sources.staged import read_staged, replace_staged
+from wayfarer.sources.tables import create_layer_databases, read_latest_year, read_table, read_year, write_layer
+from wayfarer.sources.testdata import raw_pois, raw_regions, raw_trips
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -104,6 +109,11 @@ def _register(name: str):
     return deco
 
 
+# words of the test tables' names, as labels
+CHINESE_WORDS = {"small": "森林", "red": "公园", "blue": "湖泊", "hot": "温泉", "cold": "高楼", "ring": "博物馆", "gear": "古镇", "bolt": "乡村",
+                 "widget": "漂流", "gizmo": "商圈"}
+
+
 # -- sources ---------------------------------------------------------------------------
 @_register("csv_rename_load_poi")
 def _csv_poi(L: Layers) -> DataFrame:
@@ -149,6 +159,16 @@ def _classify(L: Layers) -> DataFrame:
     return L.dwd_poi.select("poi_id", F.array_join("label", L.params.label_sep).alias("label_zh"), "category")
 
 
+@_register("classify_chinese_rules")
+def _classify_chinese(L: Layers) -> DataFrame:
+    """The default rules, on labels whose words are put into the language of the rules."""
+    label = F.col("name_en")
+    for word, said in CHINESE_WORDS.items():
+        label = F.replace(label, F.lit(word), F.lit(said))
+    label = F.when(F.col("poi_id").cast("bigint") % 19 == 0, REFERENCE_RULES.sentinel_text).otherwise(F.replace(label, F.lit(" "), F.lit("")))
+    return L.ods_poi.select("poi_id", label.alias("label_zh")).withColumn("category", classify("label_zh", REFERENCE_RULES))
+
+
 @_register("parse_date_multi")
 def _parse(L: Layers) -> DataFrame:
     # year / month of the parsed date are checked by year_range and dedupe_trips (non-NULL there)
@@ -237,6 +257,16 @@ def _um(L: Layers) -> DataFrame:
     return L.user_month
 
 
+@_register("user_month_persisted")
+def _um_persisted(L: Layers) -> DataFrame:
+    """One scan of the stored visits, with user-months beyond 4 visits dealt to salts and folded."""
+    visits, out = scratch_path(L.spark, "visits"), scratch_path(L.spark, "user_month")
+    write_layer(L.visits, "dwd_user_travel_sequence_info", visits)
+    with jobs.user_month_reused(read_table(L.spark, visits), L.dwd_poi, L.params.with_(hot_user_month_visits=4)) as df:
+        write_layer(df, "dws_user_travel_month", out)
+    return read_table(L.spark, out, columns=[f.name for f in TABLES["dws_user_travel_month"][0].fields])
+
+
 @_register("attraction_quarter")
 def _aq(L: Layers) -> DataFrame:
     return L.attraction_quarter
@@ -283,6 +313,11 @@ def _cq_from_aq(L: Layers) -> DataFrame:
     return jobs.city_quarter_from_attractions(L.attraction_quarter, L.params)
 
 
+@_register("region_quarter")
+def _region_quarter(L: Layers) -> DataFrame:
+    return jobs.region_quarter(L.city_quarter, raw_regions(L.spark, L.sf_dir), L.params)
+
+
 @_register("top_partner")
 def _top_partner(L: Layers) -> DataFrame:
     return L.attraction_quarter.select("poi_id", "travel_year", "travel_quarter",
@@ -319,6 +354,44 @@ def _portrait(L: Layers) -> DataFrame:
     return jobs.user_portrait(L.user_month, L.params)
 
 
+@_register("user_portrait_bucketed")
+def _portrait_bucketed(L: Layers) -> DataFrame:
+    create_layer_databases(L.spark)
+    place = scratch_path(L.spark, "bucketed")
+    table = "dws.b_" + place.rsplit("-", 1)[-1]
+    portrait.write_bucketed_months(L.user_month, table, buckets=8, location=place)
+    return jobs.user_portrait(L.spark.table(table), L.params, by_user=True)
+
+
+@_register("user_portrait_updated")
+def _portrait_updated(L: Layers) -> DataFrame:
+    """A state made while one month of the table was wrong, updated with that month's right rows."""
+    right, wrong, state = (scratch_path(L.spark, n) for n in ("months", "months-before", "portrait-state"))
+    write_layer(L.user_month, "dws_user_travel_month", right)
+    replaced = (L.params.ranking_year, 3)
+    months = read_table(L.spark, right)
+    there = (F.col("travel_year") == replaced[0]) & (F.col("travel_month") == replaced[1])
+    # before: half of the month's users were missing, the others had other counts and one more city
+    before = months.where(there & (F.col("blog_id").cast("bigint") % 2 == 0)).withColumns({
+        "total_spot_cnt": F.col("total_spot_cnt") + 5, "last_trip_date": F.lit("2099-01-01").cast("date"),
+        "city_visit_map": F.map_concat(F.transform_values("city_visit_map", lambda k, v: v * 9), F.create_map(F.lit("nowhere"), F.lit(99).cast("bigint"))),
+        "category_visit_map": F.transform_values("category_visit_map", lambda k, v: v + 40)})
+    # and somebody was there who should not have been
+    before = before.unionByName(before.limit(1).withColumn("blog_id", F.lit("nobody")))
+    write_layer(months.where(~there).unionByName(before), "dws_user_travel_month", wrong)
+    portrait.portrait_state(read_table(L.spark, wrong)).write.parquet(state)
+    updated = portrait.update_state(L.spark.read.parquet(state), portrait.months_of(L.spark, wrong, [replaced]),
+                                    portrait.months_of(L.spark, right, [replaced]))
+    return portrait.portrait_of_state(updated, L.params)
+
+
+@_register("top_cities_latest")
+def _top_cities_latest(L: Layers) -> DataFrame:
+    path = scratch_path(L.spark, "dws_city_travel_quarter")
+    write_layer(L.city_quarter, "dws_city_travel_quarter", path)
+    return jobs.top_cities(read_latest_year(L.spark, path), L.params.with_(ranking_year=None))
+
+
 @_register("top_attractions")
 def _top_attr(L: Layers) -> DataFrame:
     return jobs.top_attractions(L.attraction_quarter, L.params)
@@ -366,7 +439,63 @@ def _catalog(L: Layers) -> DataFrame:
     return read_table(L.spark, table, as_table=True)
 
 
+@_register("ddl_text_table")
+def _text_table(L: Layers) -> DataFrame:
+    """The raw POI table as declared: delimited files behind an external table of the catalog."""
+    create_layer_databases(L.spark)
+    place = scratch_path(L.spark, "text")
+    table = create_declared(L.spark, "ods_poi_dim", "ods.x_" + place.rsplit("-", 1)[-1], place)
+    load_declared(L.ods_poi, "ods_poi_dim", table)
+    return L.spark.table(table)
+
+
+@_register("staged_overwrite")
+def _staged(L: Layers) -> DataFrame:
+    """A staged table, made wrong first and then replaced by a plan that reads it."""
+    table = scratch_path(L.spark, "staged")
+    replace_staged(L.city_quarter.withColumn("visit_trip_cnt", F.col("visit_trip_cnt") + 1000), "dws_city_travel_quarter", table)
+    before = read_staged(L.spark, table)
+    replace_staged(before.withColumn("visit_trip_cnt", F.col("visit_trip_cnt") - 1000), "dws_city_travel_quarter", table)
+    return read_staged(L.spark, table)
+
+
+@_register("step_counts")
+def _step_counts(L: Layers) -> DataFrame:
+    """Rows at each point of each step, counted while the warehouse is written."""
+    ledger = StepLedger()
+    run_pipeline(L.spark, L.ods_poi, L.ods_trip, scratch_path(L.spark, "warehouse"), L.params, ledger=ledger)
+    return ledger.table(L.spark)
+
+
 # -- quality ------------------------------------------------------------------------------
+TRIP_PROFILE = Profile(
+    columns=("blog_id", "departure_date", "travel_partners", "visit_sequence"), parsed=(("departure_date", "travel_date"),),
+    histograms=("travel_year",), ranges=("travel_date", "n_visits"), keys=(("blog_id", "travel_date", "visit_sequence"),),
+    distinct=("blog_id", "visit_sequence"), quantiles=("n_visits",))
+
+
+def profiled_trips(L: Layers) -> DataFrame:
+    day = parse_date_multi("departure_date", L.params.date_formats)
+    return L.ods_trip.withColumn("travel_date", day).withColumns({
+        "travel_year": F.year("travel_date"), "n_visits": F.size(F.split("visit_sequence", L.params.sequence_sep))})
+
+
+@_register("quality_one_pass")
+def _quality_one_pass(L: Layers) -> DataFrame:
+    """The exact lines of the report (tests check the sketches' lines against their bounds)."""
+    report = profile_report(profile_cells(profiled_trips(L), TRIP_PROFILE), TRIP_PROFILE)
+    return report.where(~F.col("section").isin("distinct", "quantile")).drop("estimate")
+
+
+@_register("quality_merged")
+def _quality_merged(L: Layers) -> DataFrame:
+    """The same lines from the cells of the halves of the table, taken apart and merged."""
+    trips = profiled_trips(L)
+    half = F.coalesce(F.crc32(F.col("retrieval_date")), F.lit(0)) % 2
+    cells = merge_cells(*[profile_cells(trips.where(half == k), TRIP_PROFILE) for k in (0, 1)])
+    return profile_report(cells, TRIP_PROFILE).where(~F.col("section").isin("distinct", "quantile")).drop("estimate")
+
+
 @_register("quality_report")
 def _quality(L: Layers) -> DataFrame:
     return column_profile(L.ods_trip, ["blog_id", "departure_date", "travel_partners", "visit_sequence"])

@@ -61,6 +61,19 @@ COLUMN_COMMENTS = {
         "top_partner": "最热门的出游方式", "rank": "季度热度排名", "is_hot_rising": "是否热度上升"},
 }
 
+TABLE_COMMENTS = {
+    "ods_user_travel_sequence": "ods层-用户出行轨迹原始表",
+    "ods_poi_dim": "ods层-景区维度表",
+    "dwd_poi_info": "dwd层-景区清洗明细表",
+    "dwd_user_travel_sequence_info": "dwd层-用户出行明细清洗表",
+    "dws_user_travel_month": "dws层-用户月度出行主题宽表",
+    "dws_attraction_travel_quarter": "dws层-景点热度主题表",
+    "dws_city_travel_quarter": "dws层-城市季度热度主题表",
+    "ads_user_portrait": "ads层-用户画像表",
+    "ads_top50_attractions_last_year": "ads层-最近一年热门景点top50",
+    "ads_city_top10_last_year": "ads层-最近一年城市热度top10",
+}
+
 
 def _schema(table: str, *fields: tuple) -> StructType:
     """A table's declared schema; a column's comment is carried as its metadata."""

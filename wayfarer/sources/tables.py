@@ -88,3 +88,10 @@ def read_year(spark: SparkSession, source: str, year: int, year_col: str = "trav
               as_table: bool = False) -> DataFrame:
     """One year of a year-partitioned table (partition-pruned scan)."""
     return read_table(spark, source, where=F.col(year_col) == year, as_table=as_table)
+
+
+def read_latest_year(spark: SparkSession, source: str, year_col: str = "travel_year", as_table: bool = False) -> DataFrame:
+    """The last year of a year-partitioned table that has rows. The year is a subquery of the plan, over the
+    partition column alone; when it runs, the scan of the rows is pruned to that year's files."""
+    df = read_table(spark, source, as_table=as_table)
+    return df.where(F.col(year_col) == df.select(F.max(year_col)).scalar())

@@ -12,6 +12,9 @@ date text 'junk' for % 101 = 0, else alternating three layouts by % 3; companion
 % 11 = 0; a trailing ';;' for % 7 = 0; every order with % 50 = 0 appears twice: for % 100 = 0 the
 second one's date is in the next layout, for % 150 = 0 it has other companions, else it is an
 exact copy.
+Regions: the city Brand#n is in province P(n div 5) and region R(n div 10), other cities in those of their
+first two words and their first word; n % 7 = 0 is in no mapping, n % 6 = 0 is mapped a second time to
+province A0 without a region, n % 11 = 0 to province Z9 of region R9.
 """
 
 from __future__ import annotations
@@ -78,3 +81,15 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 7 == 0, F.concat(F.col("seq"), F.lit(";;"))).otherwise(F.col("seq")).alias("visit_sequence"),
     )
     return conform(t, ODS_TRIP)
+
+
+def raw_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(city, province, region) of the test tables' cities, derived from ``part``."""
+    city = raw_pois(spark, sf_dir).select(F.col("city_zh").alias("city")).where("city IS NOT NULL").distinct()
+    n = F.expr("try_cast(substring_index(city, '#', -1) AS INT)")
+    province = F.coalesce(F.concat(F.lit("P"), F.floor(n / 5)), F.substring_index("city", " ", 2))
+    region = F.coalesce(F.concat(F.lit("R"), F.floor(n / 10)), F.substring_index("city", " ", 1))
+    again = F.when(n % 6 == 0, F.array(F.lit("A0"))).when(n % 11 == 0, F.array(F.lit("Z9"))).otherwise(F.array())
+    rows = city.where(n.isNull() | (n % 7 != 0)).select(
+        "city", F.explode(F.concat(F.array(province), again)).alias("province"), region.alias("region"))
+    return rows.withColumn("region", F.when(F.col("province") == "A0", "  ").when(F.col("province") == "Z9", "R9").otherwise(F.col("region")))
