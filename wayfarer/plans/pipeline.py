@@ -61,12 +61,12 @@ def fingerprint(name: str, params: Params, inputs: list[str]) -> str:
 
 
 def raw_identity(df: DataFrame | None) -> list[str]:
-    """Schema of a raw input and the files it is read from, with their lengths and times; what is not read from
-    files can't be known again."""
+    """Schema of a raw input and the files it is read from, with their lengths and times; rows that come from no
+    file are the same only as the same rows of one session."""
     if df is None:
         return []
     files = df.inputFiles()
-    return [df.schema.json(), *(versions(df.sparkSession, files) if files else ["unknown"])]
+    return [df.schema.json(), *(versions(df.sparkSession, files) if files else [f"plan {df.semanticHash()}"])]
 
 
 def read_declared(spark: SparkSession, path: str, name: str) -> DataFrame:
