@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -39,6 +40,44 @@ def test_base_of_special_texts(docs, text):
     assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == base(text)
 
 
+UNICODE_SPACES = "\x1c\x1d\x85\u00a0\u1680\u2000\u2003\u2028\u2029\u202f\u205f\u3000"
+
+
+def base_spans(text):
+    """(label, start, end) of the base phrases in code points of the text."""
+    words = [(m[0].translate(LOWER), m.start(), m.end()) for m in re.finditer(r"(?:[A-Za-z0-9]|[^\x00-\x7F])+", text)]
+    out = set()
+    for phrase, label in L.BASE_PHRASES:
+        p = phrase.split()
+        for i in range(len(words) - len(p) + 1):
+            if [w for w, *_ in words[i: i + len(p)]] == p:
+                out.add(f"{label}:{words[i][1]}:{words[i + len(p) - 1][2]}")
+    return out
+
+
+@pytest.mark.parametrize("text", ["é\u00a0é\u00a0é mit license", "see\u00a0note\u00a0one: the MIT License", "\u3000 \u3000 x MIT License",
+                                  "a\u2003b MIT License", "\u3000mit license", "mit license\u00a0", "mit\u00a0license"])
+def test_words_with_white_space_that_is_not_ascii(docs, text):
+    r = L.license_scan(docs([(1, text)])).collect()[0]
+    assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == base(text)
+    assert base_spans(text) <= set(r.spans.split(","))
+
+
+def test_random_texts_with_unicode_spaces():
+    rng = random.Random(8)
+    search = L.NoticeSearch(L.BASE_PHRASES, L.NOTICES)
+    pieces = ["mit", "license", "MIT License", "apache", "General Public License", "é", "x", "9", *UNICODE_SPACES, " ", " ", "\n", "-", "."]
+    some = 0
+    for _ in range(3000):
+        text = "".join(rng.choice(pieces) + rng.choice(("", " ", " ", "\u00a0")) for _ in range(rng.randrange(12)))
+        got = L.scan_text(text, search)
+        assert got[:5] == base(text), text
+        spans = set(filter(None, got[7].split(",")))
+        assert base_spans(text) <= spans and all(0 <= int(x.split(":")[1]) < int(x.split(":")[2]) <= len(text) for x in spans), text
+        some += got[1] > 0
+    assert some > 300
+
+
 def test_edits_within_bounds(docs):
     text = "é Licenced undr the Apache Licence, Version 2.0."
     r = L.license_scan(docs([(1, text)])).collect()[0]

@@ -139,7 +139,8 @@ def scan_text(text: str | None, search: NoticeSearch) -> tuple:
     found = search.find(norm) if words else []
     if not found:
         return len(words), 0, None, None, "", "", 0.0, ""
-    begins = list(accumulate((len(w) + 1 for w in norm.split()), initial=1))  # of each word in norm
+    # of each word in norm; a word may hold white space that is not ASCII
+    begins = list(accumulate((len(w) + 1 for w in norm[1:-1].split(" ")), initial=1))
     hits = []
     for i, a, b, edits in found:
         a, b = a + (norm[a] == " "), b - (norm[b - 1] == " ")
