@@ -1,7 +1,8 @@
 """Personal data replaced by keyed surrogates.
 
-E-mail addresses, telephone, card and social-security numbers, IP addresses and titled names are
-found by one pattern. The distinct entities of the whole corpus form a dictionary: an entity's
+E-mail addresses, telephone, card, bank-account (IBAN) and social-security numbers, IP addresses and titled
+names are found by one pattern. In it, repeated groups are bounded or possessive: Java's matcher calls
+itself for each turn of any other, and a long enough text would overflow the stack. The distinct entities of the whole corpus form a dictionary: an entity's
 surrogate comes from a SHA-256 stream keyed by a secret, the entity's kind and its canonical form
 (so the formats of one number agree, and every mention in every document gets the same surrogate),
 and is written in the mention's own format. Surrogates that meet another entity's surrogate, or an
@@ -21,14 +22,21 @@ from pyspark.sql import functions as F
 from wayfarer.llm.common import stored
 
 KEY = "wayfarer-surrogates"  # a deployment passes its own secret
+SHAPE = 320  # characters of an address whose shape its surrogate has
 KEPT_DRAWS = 12  # draws in the entity's own format; each later one is a place longer
 
 MALE_TITLES = ("Mr", "Sir", "Herr", "Señor", "Sr", "Monsieur", "Господин", "г-н")
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Madam", "Frau", "Señora", "Sra", "Madame", "Mme", "Госпожа", "г-жа")
 NEUTRAL_TITLES = ("Dr", "Prof")
 
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[0-9])"
+_LETTERS = "A-Za-z0-9\u00C0-\u024F\u0370-\u03FF\u0400-\u04FF"  # of addresses: Latin, Greek, Cyrillic
+EMAIL = rf"(?<![{_LETTERS}._%+-])[{_LETTERS}._%+-]++@[{_LETTERS}-]+(?:\.[{_LETTERS}-]+)++"
+_OCTET = r"(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
+IP = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])"
+_HEX = "[0-9A-Fa-f]{1,4}"
+IP6 = (rf"(?<![0-9A-Za-z:.])(?=[A-Fa-f:]{{0,35}}[0-9])(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{1,6}}(?::{_HEX}){{1,6}}|::(?:{_HEX}:){{0,5}}{_HEX}"
+       rf"|(?:{_HEX}:){{2,7}}:)(?![0-9A-Za-z:])")
+IBAN = r"(?<![A-Za-z0-9])(?=[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9]))[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 _SEP = r"(?:[ .\u00A0\u202F-]|[ .\u00A0\u202F-]?\(|\)[ .\u00A0\u202F-]?)?"  # between two digits of a number
 _DATE = r"[0-9]{2}[./-][0-9]{2}[./-](?:[0-9]{4}|[0-9]{2})(?![0-9]|[./-][0-9])"
 PHONE = (r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
@@ -38,14 +46,19 @@ PHONE = (r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
 # national forms: with a leading 0 (00 before a country code), or groups of a nine-digit number
 LOCAL = (rf"(?<![0-9A-Za-z.,+/-])(?!{_DATE})\(?00?[1-9](?:/?{_SEP}[0-9]){{5,13}}(?![0-9])"
          r"|(?<![0-9.,-])[6-9][0-9]{2} (?:[0-9]{3} [0-9]{3}|[0-9]{2} [0-9]{2} [0-9]{2})(?![0-9])")
-SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
-CARD = r"(?<![0-9])[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7}(?![0-9])"
-_TITLES = "|".join(MALE_TITLES + FEMALE_TITLES + NEUTRAL_TITLES)
-_WORD = r"\p{Lu}\p{Ll}+(?:-\p{Lu}\p{Ll}+)?"
-NAME = rf"(?<!\p{{L}})(?:{_TITLES})\.? {_WORD}(?: {_WORD})?"
-ENTITY = f"{EMAIL}|{IP}|{PHONE}|{SSN}|{CARD}|{LOCAL}|{NAME}"
-
-KINDS = ("email", "ip", "phone", "ssn", "card", "name")
+SSN = r"(?<![0-9-])[0-9]{3}(?:-[0-9]{2}-|[ ][0-9]{2}[ ])[0-9]{4}(?![0-9-])"
+CARD = (r"(?<![0-9])(?:3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}"
+        r"|[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{4}[ -]?[0-9]{1,7})(?![0-9])")
+_TITLES = "|".join(t for title in MALE_TITLES + FEMALE_TITLES + NEUTRAL_TITLES for t in dict.fromkeys((title, title.upper())))
+# A name is up to six words: capitalised ones with any letters, apostrophes and hyphens in them, initials, and
+# between them the small words that names have.
+PARTICLES = ("de", "la", "las", "los", "del", "della", "di", "da", "dos", "du", "von", "der", "den", "van", "zu", "le", "el", "al", "bin", "ibn", "y")
+_SMALL = rf"(?:(?:{'|'.join(PARTICLES)}) ){{0,3}}"
+_WORD = r"\p{Lu}(?:[\p{L}'\u2019-]*\p{L})?(?![\p{L}.])|\p{Lu}\.|\p{Lu}(?:[\p{L}'\u2019-]*\p{L})"
+NAME = rf"(?<!\p{{L}})(?:{_TITLES})\.? {_SMALL}(?:{_WORD})(?: {_SMALL}(?:{_WORD})){{0,5}}"
+ENTITY = f"{EMAIL}|{IBAN}|{IP6}|{IP}|{PHONE}|{SSN}|{CARD}|{LOCAL}|{NAME}"
+
+KINDS = ("email", "ip", "phone", "ssn", "card", "iban", "name")
 
 # Syllables of surrogate names by script, and endings by gender.
 LATIN = ("ba", "de", "fi", "go", "ka", "le", "mi", "no", "pa", "re", "si", "to", "va", "wi", "ze", "lu")
@@ -56,8 +69,9 @@ ENDINGS = {"latin": {"male": "n", "female": "na", "none": "l"}, "cyrillic": {"ma
 def kind_of(mention: Column) -> Column:
     digits = F.length(F.regexp_replace(mention, "[^0-9]", ""))
     return (F.when(mention.contains("@"), "email")
+            .when(mention.rlike(rf"^(?:{IP}|{IP6})$"), "ip")
+            .when(mention.rlike(rf"^(?:{IBAN})$"), "iban")
             .when(mention.rlike(r"\p{L}"), "name")
-            .when(mention.rlike(rf"^(?:{IP})$"), "ip")
             .when(mention.rlike(rf"^(?:{SSN})$"), "ssn")
             .when(mention.rlike(r"^(?:[+(]|00)") | (digits < 13), "phone")
             .otherwise("card"))
@@ -66,6 +80,7 @@ def kind_of(mention: Column) -> Column:
 def canonical(kind: Column, mention: Column) -> Column:
     """Equal for the mentions of one entity: digits alone for numbers, lower case without a title else."""
     return (F.when(kind.isin("phone", "card", "ssn"), F.regexp_replace(mention, "[^0-9]", ""))
+            .when(kind == "iban", F.replace(mention, F.lit(" "), F.lit("")))
             .when(kind == "name", F.lower(F.regexp_replace(mention, rf"^(?:{_TITLES})\.? ", "")))
             .otherwise(F.lower(mention)))
 
@@ -100,8 +115,8 @@ def _chars(shape: Column, stream: Column) -> Column:
 
 
 def _name(canon: Column, gender: Column, seed: Column, draw: Column) -> Column:
-    """Each word becomes a name of its own script; a given name (all words but the last of several)
-    ends as its gender does, so a surname alone and with a given name agree. Four syllables, and one more
+    """Each word becomes a name of its own script, an initial an initial, and a small word stays; a given name
+    (all words but the last of several) ends as its gender does, so a surname alone and with a given name agree. Four syllables, and one more
     with each draw, so there are names enough for any number of entities."""
     words = F.split(canon, " ")
 
@@ -117,11 +132,28 @@ def _name(canon: Column, gender: Column, seed: Column, draw: Column) -> Column:
             end = F.when(role == "male", endings["male"]).when(role == "female", endings["female"]).otherwise(endings["none"])
             return F.initcap(F.concat(syllables, end))
 
-        return F.when(script == "cyrillic", made(CYRILLIC, ENDINGS["cyrillic"])).otherwise(made(LATIN, ENDINGS["latin"]))
+        whole = F.when(script == "cyrillic", made(CYRILLIC, ENDINGS["cyrillic"])).otherwise(made(LATIN, ENDINGS["latin"]))
+        return F.when(w.isin(*PARTICLES), w).when(w.rlike(r"^\p{L}\.$"), F.concat(F.substr(whole, F.lit(1), F.lit(1)), F.lit("."))).otherwise(whole)
 
     return F.array_join(F.transform(words, one), " ")
 
 
+def _luhn_sum(digits: Column) -> Column:
+    """The sum that is a multiple of ten for the digits of a card: from the right, every second one doubled."""
+    def value(c: Column, i: Column) -> Column:
+        d = c.cast("int")
+        return F.when(i % 2 == 0, d).otherwise(d * 2 - F.when(d > 4, 9).otherwise(0))
+
+    return F.aggregate(F.transform(F.split(F.reverse(digits), ""), value), F.lit(0), lambda a, x: a + x)
+
+
+def _luhn(made: Column, canon: Column) -> Column:
+    """``made`` with a last digit that makes it pass the cards' check, where ``canon`` passes it."""
+    head = F.substr(made, F.lit(1), F.length(made) - 1)
+    last = F.pmod(-_luhn_sum(F.concat(head, F.lit("0"))), F.lit(10)).cast("string")
+    return F.when(_luhn_sum(canon) % 10 == 0, F.concat(head, last)).otherwise(made)
+
+
 def draw(entities: DataFrame, key: str) -> DataFrame:
     """``entities`` (kind, canon, gender, draw) with the canonical form of their surrogates, ``made``."""
     seed = F.concat_ws("|", F.lit(key), "kind", F.when(F.col("kind") != "name", F.col("canon")).otherwise(""), F.col("draw").cast("string"))
@@ -131,9 +163,15 @@ def draw(entities: DataFrame, key: str) -> DataFrame:
     octets = F.array_join(F.transform(F.sequence(F.lit(0), extra + 3), lambda i: (F.pmod(_byte(stream, i), F.lit(254)) + 1).cast("string")), ".")
     at = F.instr("canon", "@")
     last_dot = F.length("canon") - F.instr(F.reverse("canon"), ".") + 1  # the top-level domain stays
-    email = F.concat(_chars(F.substr("canon", F.lit(1), last_dot - 1), stream), F.substr("canon", last_dot))
+    # a surrogate has the shape of the first SHAPE characters: longer ones are no real addresses
+    email = F.concat(_chars(F.substr("canon", F.lit(1), F.least(last_dot - 1, F.lit(SHAPE))), stream), F.substr("canon", last_dot))
     email = F.concat(_chars(F.repeat(F.lit("x"), extra), F.reverse(stream)), email)
-    made = (F.when(F.col("kind") == "ip", octets).when(F.col("kind") == "name", _name(F.col("canon"), F.col("gender"), seed, F.col("draw")))
+    groups = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: F.substr(stream, (i * 4 + 1).cast("int"), F.lit(4))), ":")
+    iban = F.concat(F.substr("canon", F.lit(1), F.lit(2)), _chars(F.concat(F.substr("canon", F.lit(3)), F.repeat(F.lit("0"), extra)), stream))
+    made = (F.when((F.col("kind") == "ip") & F.col("canon").contains(":"), groups).when(F.col("kind") == "ip", octets)
+            .when(F.col("kind") == "iban", iban)
+            .when(F.col("kind") == "card", _luhn(_chars(F.concat(F.col("canon"), F.repeat(F.lit("0"), extra)), stream), F.col("canon")))
+            .when(F.col("kind") == "name", _name(F.col("canon"), F.col("gender"), seed, F.col("draw")))
             .when((F.col("kind") == "email") & (at > 0), email)
             .otherwise(_chars(F.concat(F.col("canon"), F.repeat(F.lit("0"), extra)), stream)))
     return entities.withColumn("made", made).drop("_seed", "_stream")
@@ -173,21 +211,25 @@ def written(mention: Column, kind: Column, made: Column) -> Column:
     places = F.length(F.regexp_replace(mention, "[^0-9]", ""))
     number = F.concat(F.array_join(F.transform(F.split(mention, ""), place), ""), F.substr(digits, places + 1))
     title = F.regexp_extract(mention, rf"^(?:{_TITLES})\.? ", 0)
+    loud = (mention == F.upper(mention)) & (F.length(F.regexp_replace(mention, r"[^\p{L}]", "")) > 3)
+    spaced = F.trim(F.regexp_replace(made, "(.{4})", "$1 "))
     return (F.when(kind.isin("phone", "card", "ssn"), number)
-            .when(kind == "name", F.concat(title, made))
+            .when(kind == "iban", F.when(mention.contains(" "), spaced).otherwise(made))
+            .when(kind == "name", F.concat(title, F.when(loud, F.upper(made)).otherwise(made)))
             .when((kind == "email") & (mention == F.upper(mention)), F.upper(made)).otherwise(made))
 
 
 def gender_of(mention: Column) -> Column:
     def titled(titles: tuple[str, ...]) -> Column:
-        return mention.rlike(rf"^(?:{'|'.join(titles)})\.? ")
+        return mention.rlike(rf"^(?:{'|'.join([*titles, *(t.upper() for t in titles)])})\.? ")
 
     return F.when(titled(MALE_TITLES), "male").when(titled(FEMALE_TITLES), "female").otherwise("none")
 
 
 def pseudonymise(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``text_col`` with every entity replaced, and for each kind
-    the number of mentions (n_email, n_ip, n_phone, n_ssn, n_card, n_name).
+    the number of mentions (n_email, n_ip, n_phone, n_ssn, n_card, n_iban, n_name). Any 13 to 19 digits count as a
+    card; the surrogate passes the cards' check digit where the mention does.
 
     The surrogate of an entity is the same in all documents and depends on ``key`` and the corpus's
     other entities only when two draws meet. Different entities have different surrogates, and no
@@ -197,8 +239,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY, id_col: str = "doc_id", text_c
     """
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     # every entity has a digit, an @ or a title; most texts have none, which is quickly seen
-    hint = reduce(or_, [F.col("_text").contains(t) for t in MALE_TITLES + FEMALE_TITLES + NEUTRAL_TITLES],
-                  F.col("_text").rlike("[0-9@]"))
+    hint = reduce(or_, [F.col("_text").contains(t) for t in _TITLES.split("|")], F.col("_text").rlike("[0-9@:]"))
     some = F.coalesce(hint & F.col("_text").rlike(ENTITY), F.lit(False))
     dirty = stored(rows.where(some).select("_id", "_text", F.regexp_extract_all("_text", F.lit(ENTITY), F.lit(0)).alias("_hits"))
                    .withColumn("_row", F.monotonically_increasing_id()), "texts-with-entities")
