@@ -3,7 +3,7 @@
 The corpus is summed once into cells (source, language, topic) with their tokens. Raking scales the
 shares of the cells' tokens that are kept, none above one, to the targets of one marginal after the
 other until all fit; the tables it works on have one row for each cell. A cell's share is the probability
-with which its documents are kept, and a keyed hash of the document decides, so a repeated run or task
+with which its documents are kept, and a keyed hash of the document's id and text decides, so a repeated run or task
 decides alike.
 """
 
@@ -54,7 +54,8 @@ def topic(text: Column) -> Column:
 
 
 def uniform(seed: str, *columns: Column) -> Column:
-    """A number in [0, 1) from the MD5 of the seed and the columns."""
+    """A number in [0, 1) from the MD5 of the seed and the columns; rows are drawn by their id and text, so
+    that many rows of one id, or without one, do not stay or go together."""
     said = F.concat_ws("|", F.lit(seed), *[F.coalesce(c.cast("string"), F.lit(UNKNOWN)) for c in columns])
     return F.conv(F.substring(F.md5(said), 1, 12), 16, 10).cast("long") / F.lit(float(1 << 48))
 
@@ -170,7 +171,7 @@ def _facts(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_co
     text = text_or_empty(text_col)
     return docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(source_col).cast("string"), F.lit(UNKNOWN)).alias("source"),
                        F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), topic(text).alias("topic"),
-                       tokens(text).alias("_n"))
+                       tokens(text).alias("_n"), F.md5(text).alias("_said"))
 
 
 def mix(docs: DataFrame, targets=TARGETS, keep_share: float = KEEP_SHARE, seed: str = SEED, rounds: int = ROUNDS,
@@ -180,27 +181,27 @@ def mix(docs: DataFrame, targets=TARGETS, keep_share: float = KEEP_SHARE, seed:
     NULL in a dimension counts as the value ``?``; NULL text as empty. Documents without tokens are in no
     cell: probability 0, dropped. No document is repeated: a cell that would need more than its tokens keeps
     all of them, and a value of which there are fewer tokens than its target; the others share what these
-    leave. Rows that repeat an id are decided alike. An empty table gives an empty result. Other columns are not read.
+    leave. Rows that repeat an id and a text are decided alike. An empty table gives an empty result. Other columns are not read.
     """
     facts = stored(_facts(docs, id_col, text_col, source_col, lang_col), "document-facts")
     cells = cell_probabilities(facts, targets, keep_share, rounds).select(*DIMENSIONS, "_p")
     out = facts.join(cells, list(DIMENSIONS), "left")
     probability = F.when(F.col("_n") > 0, F.coalesce("_p", F.lit(0.0))).otherwise(0.0)
     return out.select(F.col("_id").alias(id_col), *DIMENSIONS, F.col("_n").alias("n_tokens"), probability.alias("probability"),
-                      (uniform(seed, F.col("_id")) < probability).alias("kept"))
+                      (uniform(seed, F.col("_id"), F.col("_said")) < probability).alias("kept"))
 
 
 def sample(docs: DataFrame, targets=TARGETS, keep_share: float = KEEP_SHARE, seed: str = SEED, rounds: int = ROUNDS,
            id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that ``mix`` keeps, with all their columns. Only the cells' table is joined:
-    a row's own text gives its cell and its id the draw."""
+    a row's own text gives its cell and, with its id, the draw."""
     facts = _facts(docs, id_col, text_col, source_col, lang_col)
     cells = cell_probabilities(stored(facts, "document-facts"), targets, keep_share, rounds)
     text = text_or_empty(text_col)
     rows = docs.select(  # the row in one column: its own columns may have any names
-        F.struct("*").alias("row"), F.col(id_col).alias("id"),
+        F.struct("*").alias("row"), F.col(id_col).alias("id"), F.md5(text).alias("said"),
         F.coalesce(F.col(source_col).cast("string"), F.lit(UNKNOWN)).alias("source"),
         F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), topic(text).alias("topic"),
         text.rlike(r"[^\x20\x09-\x0D]").alias("some"))
     cells = cells.select(*DIMENSIONS, F.col("_p").alias("p"))
-    return rows.where("some").join(cells, list(DIMENSIONS)).where(uniform(seed, F.col("id")) < F.col("p")).select("row.*")
+    return rows.where("some").join(cells, list(DIMENSIONS)).where(uniform(seed, F.col("id"), F.col("said")) < F.col("p")).select("row.*")
