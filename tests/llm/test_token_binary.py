@@ -81,5 +81,22 @@ def test_random_access(spark, docs):
         assert [(r.position, r.token_id) for r in found] == list(enumerate(everything))[a:b]
 
 
+def test_a_range_is_read_from_its_parts_alone(spark, docs):
+    place = scratch_path(spark, "test-tokens")
+    T.write_tokens(docs([(i, "some words here " * 9) for i in range(400)]).repartition(4), place, block_ids=50)
+    plan = T.read_range(spark, place, 5, 9)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(part" in plan and "LessThanOrEqual(part" in plan
+
+
+def test_rows_of_one_id_are_dealt_over_tasks(spark, docs):
+    place = scratch_path(spark, "test-tokens")
+    rows = [(None if i % 3 else 7, f"words {i} " * 30) for i in range(3000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is small
+    T.write_tokens(docs(rows), place, block_ids=50)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = spark.read.parquet(f"{place}/{T.BLOCKS}").groupBy("part").sum("n_ids").collect()
+    assert len(parts) > 2 and max(r[1] for r in parts) < 0.6 * sum(r[1] for r in parts)
+
+
 def test_empty_table(docs):
     assert got(T.token_binary(docs([]))) == []

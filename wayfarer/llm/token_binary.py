@@ -5,7 +5,7 @@ each row of the output table is one block whose ids take the minimum number of b
 needs. The table is written by Spark, so the commit protocol covers lost executors and any store
 Spark writes to will do. A block's header holds its offset in its part and the ids and token counts
 of its documents; a second table, one row for each part, holds the parts' offsets. Together they
-give random access by position or by document without unpacking anything else.
+give random access by position without reading other parts or unpacking other blocks.
 """
 
 from __future__ import annotations
@@ -267,8 +267,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     tokenizer = tokenizer or public_tokenizers.path(TOKENIZER)
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("_id"), text_or_empty(text_col).alias("_text"))
-    rows = rows.withColumn("_tie", F.when(F.col("_id").isNull(), F.xxhash64("_text")))
-    rows = rows.repartitionByRange("_id", "_tie").sortWithinPartitions("_id", F.xxhash64("_text"))
+    # by the text's hash too: the rows of one id, or without one, are dealt over many tasks
+    rows = rows.withColumn("_tie", F.xxhash64("_text")).repartitionByRange("_id", "_tie").sortWithinPartitions("_id", "_tie")
     rows = rows.select(F.spark_partition_id().alias("part"), "_id", "_text")
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -314,9 +314,14 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_range(spark: SparkSession, path: str, start: int, stop: int) -> DataFrame:
-    """(position, token_id) of the ids ``start`` to ``stop`` of the whole corpus; only blocks that
-    hold some of them are unpacked, and of those only the bytes needed."""
-    found = read_tokens(spark, path).where((F.col("start") < stop) & (F.col("start") + F.col("n_ids") > start))
+    """(position, token_id) of the ids ``start`` to ``stop`` of the whole corpus. The parts that hold some
+    of them are looked up first, so the scan of the blocks is pruned to them; of their blocks only those
+    that hold some are unpacked, and of these only the bytes needed."""
+    base = F.col("base")
+    ends = spark.read.schema(PART_SCHEMA).parquet(f"{path}/{PARTS}").where(base < stop).agg(
+        F.coalesce(F.max(F.when(base <= start, F.col("part"))), F.lit(0)).alias("first"), F.max("part").alias("last")).first()
+    found = read_tokens(spark, path).where(F.col("part").between(ends["first"], -1 if ends["last"] is None else ends["last"]))
+    found = found.where((F.col("start") < stop) & (F.col("start") + F.col("n_ids") > start))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
