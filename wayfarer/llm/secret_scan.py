@@ -187,7 +187,8 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RU
         path = scratch_path(spark, "trigram-index")
         write_index(texts, trigrams, path)
         index = spark.read.schema("_id " + docs.schema[id_col].dataType.simpleString() + ", _key long, _tri int").parquet(path)
-        keys = candidates(index, indexed, trigrams).withColumnsRenamed({"_id": "_cid", "_key": "_ckey"})
+        # stored, so that Spark knows how few they are: it then broadcasts them, or filters the texts by them
+        keys = stored(candidates(index, indexed, trigrams), "candidates").withColumnsRenamed({"_id": "_cid", "_key": "_ckey"})
         rows = texts.join(keys, F.col("_id").eqNullSafe(F.col("_cid")) & (F.col("_key") == F.col("_ckey")))
         found = _scan(rows, {r: rules[r] for r in indexed},
                       lambda r: F.array_contains("_rules", r))
