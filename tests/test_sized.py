@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, rows
 from tests.test_plans import plan
 from wayfarer import session
 from wayfarer.sources.testdata import raw_bytes
@@ -43,3 +43,38 @@ def test_queries_have_partitions_for_their_input(spark, monkeypatch, name):
     monkeypatch.setattr(session, "BYTES_PER_PARTITION", stored // 37 + 1)
     p = plan(E.queries()[name](spark, SF_SMALL))
     assert set(re.findall(r"hashpartitioning\(.*, (\d+)\)", p)) == {"37"}
+
+
+def under_the_first_shuffle(p: str, columns: str) -> list[str]:
+    """The operators between the scan that reads ``columns`` and the shuffle over it, in the text of a plan."""
+    lines = p.splitlines()
+    at = next(i for i, line in enumerate(lines) if "FileScan" in line and columns in line)
+    depth, found = re.search(r"\w", lines[at]).start(), []
+    for line in reversed(lines[:at]):
+        start = re.search(r"\w", line).start()
+        if start < depth:
+            depth = start
+            if "Exchange" in line:
+                return found
+            found.append(line.strip())
+    raise AssertionError("no shuffle over the scan")
+
+
+@pytest.mark.parametrize("name", ["user_status", "favorite_category", "favorite_partner", "user_level", "city_growth_strict", "city_quarter",
+                                  "region_quarter", "rising_flag"])
+def test_nothing_is_collected_or_sorted_by_row_group(spark, name):
+    """A task reads whole row groups, whatever the partitions: it must not hold their rows in memory."""
+    p = plan(E.queries()[name](spark, SF_SMALL))
+    for columns in ("[l_orderkey#", "[p_partkey#"):
+        below = under_the_first_shuffle(p, columns)
+        assert not [op for op in below if re.search("Aggregate|Sort|Window", op)], below
+
+
+def test_rows_do_not_depend_on_row_groups(spark, tmp_path):
+    for name in ("part", "orders", "lineitem"):
+        rows_in = spark.read.parquet(f"{SF_SMALL}/{name}.parquet")
+        rows_in.coalesce(1).write.option("parquet.block.size", 4096).parquet(f"{tmp_path}/small/{name}.parquet")
+        rows_in.coalesce(1).write.parquet(f"{tmp_path}/whole/{name}.parquet")
+    for name in ("city_quarter", "user_level"):
+        want = rows(E.queries()[name](spark, SF_SMALL))
+        assert want and all(rows(E.queries()[name](spark, f"{tmp_path}/{n}")) == want for n in ("small", "whole"))
